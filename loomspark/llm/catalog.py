@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from loomspark.llm.chat_format import op3_chat_format
+from loomspark.llm.media import op2_media
+from loomspark.llm.sentencepiece_viterbi import op10_sentencepiece
 from loomspark.llm.token_counts import op1_token_counts
 
 
 def queries():
-    return {"op1_token_counts": op1_token_counts}
+    return {
+        "op1_token_counts": op1_token_counts,
+        "op2_media": op2_media,
+        "op3_chat_format": op3_chat_format,
+        "op10_sentencepiece": op10_sentencepiece,
+    }
 
 
 def oracle_sql():
