@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from loomspark.llm.chat_format import op3_chat_format
+from loomspark.llm.language_id import op5_language_id
 from loomspark.llm.media import op2_media
+from loomspark.llm.minhash import op8_minhash
 from loomspark.llm.sentencepiece_viterbi import op10_sentencepiece
 from loomspark.llm.token_counts import op1_token_counts
 
@@ -13,6 +15,8 @@ def queries():
         "op1_token_counts": op1_token_counts,
         "op2_media": op2_media,
         "op3_chat_format": op3_chat_format,
+        "op5_language_id": op5_language_id,
+        "op8_minhash": op8_minhash,
         "op10_sentencepiece": op10_sentencepiece,
     }
 
