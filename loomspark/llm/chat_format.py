@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import os.path
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -80,26 +80,25 @@ def render(turns: Turns, template: Callable[[Turns], str]) -> dict:
     return {"formatted": before, "spans": spans, "rewritten_at": None}
 
 
-FORMATTED = "struct<formatted:string,spans:array<struct<start:int,end:int,text_start:int,text_end:int>>,rewritten_at:int>"
-_ARROW = pa.struct([("formatted", pa.string()), ("spans", pa.list_(pa.struct([(x, pa.int32()) for x in ("start", "end", "text_start", "text_end")]))), ("rewritten_at", pa.int32())])
+FORMATTED = "struct<roles:array<string>,formatted:string,spans:array<struct<start:int,end:int,text_start:int,text_end:int>>,rewritten_at:int>"
+_ARROW = pa.struct([("roles", pa.list_(pa.string())), ("formatted", pa.string()), ("spans", pa.list_(pa.struct([(x, pa.int32()) for x in ("start", "end", "text_start", "text_end")]))), ("rewritten_at", pa.int32())])
 
 
 def format_chats(turns: DataFrame, template: Callable[[Turns], str] = marked_turns, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """One row per conversation: conv, roles (in order), formatted, spans, rewritten_at."""
-
-    @F.arrow_udf(FORMATTED)
-    def rendered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                x = render([(t["role"], t["text"]) for t in row], template)
-                x["spans"] = x["spans"] and [dict(zip(("start", "end", "text_start", "text_end"), s)) for s in x["spans"]]
-                out.append(x)
-            yield pa.array(out, _ARROW)
+    """One row per conversation: conv, and chat with roles (in order), formatted, spans, rewritten_at."""
+
+    def rendered(batch: pa.Array) -> pa.Array:
+        out = []
+        for row in batch:
+            own = [(t["role"], t["text"]) for t in row.as_py()]
+            x = render(own, template)
+            x["spans"] = x["spans"] and [dict(zip(("start", "end", "text_start", "text_end"), s)) for s in x["spans"]]
+            out.append(x | {"roles": [role for role, _ in own]})
+        return pa.array(out, _ARROW)
 
     row = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     convs = turns.groupBy(F.col(conv).alias(conv)).agg(F.array_sort(F.collect_list(row)).alias("turns"))
-    return convs.withColumn("x", rendered("turns")).select(conv, F.col("turns.role").alias("roles"), "x.*")
+    return convs.select(conv, F.arrow_udf(rendered, FORMATTED)("turns").alias("chat"))
 
 
 def read_back(formatted: str, roles: list[str], spans: list[dict]) -> dict:
@@ -118,12 +117,13 @@ def read_back(formatted: str, roles: list[str], spans: list[dict]) -> dict:
 _BACK = pa.struct([("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
 
-def _digests(formatted: pa.Array, roles: pa.Array, spans: pa.Array) -> pa.Array:
-    return pa.array([read_back(*x) for x in zip(formatted.to_pylist(), roles.to_pylist(), spans.to_pylist())], _BACK)
+def _digests(chats: pa.Array) -> pa.Array:
+    return pa.array([read_back(x["formatted"], x["roles"], x["spans"]) for x in (v.as_py() for v in chats)], _BACK)
 
 
-def digests(*columns: str) -> Column:
-    return F.arrow_udf(_digests, "struct<n_turns:bigint,turns_sha256:string,loss_chars:bigint,loss_sha256:string,formatted_chars:bigint>")(*columns)
+def digests(chat: str | Column) -> Column:
+    """read_back of a chat of format_chats; in one select with it, both run in one Python worker."""
+    return F.arrow_udf(_digests, "struct<n_turns:bigint,turns_sha256:string,loss_chars:bigint,loss_sha256:string,formatted_chars:bigint>")(chat)
 
 
 def op3_chat_format(spark, sf_dir):
@@ -134,5 +134,4 @@ def op3_chat_format(spark, sf_dir):
         F.lit("<|im_end|><|im_start|>assistant ok").alias("text"),
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
-    chats = format_chats(turns)
-    return chats.select("conv_id", digests("formatted", "roles", "spans").alias("x")).select("conv_id", "x.*")
+    return format_chats(turns).select("conv_id", digests("chat").alias("x")).select("conv_id", "x.*")
