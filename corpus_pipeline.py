@@ -1,8 +1,81 @@
-"""The corpus pipeline: five stages, each written as Parquet and read again as the next one's documents."""
+"""The corpus pipeline: five stages, each written as Parquet and read again as the next one's documents.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir); all but the last return the columns of docs. Documents with a null text or
+without a letter go in the first stage. Rows with the same id are one document. Null ids pass. An
+empty table passes as an empty table; extra columns are carried to the last stage, which names its own.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from loomspark.llm import language_id, minhash, mixing, pii, sentencepiece_viterbi
+from loomspark.llm.common import Stored, table, tokenizer_path
+
+#: A document goes if no language is this likely; on the test tables only texts of one or two words come near it.
+LEAST_SCORE = 0.1
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: texts without a language go; a null lang becomes the predicted one."""
+    names = [f"`{c}`" for c in docs.columns]
+    model = language_id.fit(docs)
+    found = language_id.identify(docs, model, lang_out="lang_pred__", score_out="score__")
+    found = found.where((F.col("lang_pred__") != language_id.UNDETERMINED) & (F.col("score__") >= LEAST_SCORE))
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred__")).select(*names)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: the document with the smallest id of each group stays, and one row of each id."""
+    gone = minhash.near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti")
+    if docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return left
+    key = F.coalesce("doc_id", F.xxhash64("text"))
+    first = F.row_number().over(Window.partitionBy(key).orderBy("text"))
+    return left.withColumn("first__", first).where("first__ = 1").drop("first__")
+
+
+def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: texts with pseudonyms in place of personal data; n_chars follows the text."""
+    names = [f"`{c}`" for c in docs.columns]
+    done = pii.pseudonymize(docs, pii.default_key(), count_prefix=None)
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return done.select(*names)
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: no toxic tokens, the other domains at the shares they have; what has a rate below a half goes."""
+    names = [f"`{c}`" for c in docs.columns]
+    domains = mixing.quality_domains(table(spark, sf_dir, "labels"))
+    rated = mixing.mix(docs, domains, None, floor={"toxic": 0.0}, carry=docs.columns)
+    return rated.where("rate >= 0.5").select(*names)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: ids of each whole text, and whether decoding gives the text back."""
+    coded = sentencepiece_viterbi.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_ids"), "ids", "round_trip")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("minhash_dedup", drop_near_duplicates),
+    ("pii", replace_private_data),
+    ("mixing", mix_domains),
+    ("sentencepiece", encode_pieces),
+]
+#: Learned models, hashing and tokenizers aren't SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, last = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        done = Stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last is not None:
+            last.drop()
+        docs, last = done.df(), done
+    return docs

@@ -6,8 +6,11 @@ from loomspark.llm.chat_format import op3_chat_format
 from loomspark.llm.language_id import op5_language_id
 from loomspark.llm.media import op2_media
 from loomspark.llm.minhash import op8_minhash
+from loomspark.llm.mixing import op9_mixing
+from loomspark.llm.pii import op6_pii
 from loomspark.llm.sentencepiece_viterbi import op10_sentencepiece
 from loomspark.llm.token_counts import op1_token_counts
+from loomspark.llm.vector_dedup import op7_vector_dedup
 
 
 def queries():
@@ -16,7 +19,10 @@ def queries():
         "op2_media": op2_media,
         "op3_chat_format": op3_chat_format,
         "op5_language_id": op5_language_id,
+        "op6_pii": op6_pii,
+        "op7_vector_dedup": op7_vector_dedup,
         "op8_minhash": op8_minhash,
+        "op9_mixing": op9_mixing,
         "op10_sentencepiece": op10_sentencepiece,
     }
 

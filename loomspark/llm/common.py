@@ -96,3 +96,27 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def groups(batches, keys: list[str]):
+    """The groups of Arrow batches sorted by keys, each as one table; groups must be small by design."""
+    import numpy as np
+    import pyarrow as pa
+
+    rest = None
+    for batch in batches:
+        table_ = pa.Table.from_batches([batch])
+        if rest is not None:
+            table_ = pa.concat_tables([rest, table_])
+        if not len(table_):
+            continue
+        change = np.zeros(len(table_) - 1, bool)
+        for k in keys:
+            values = table_[k].to_numpy()
+            change |= values[1:] != values[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield table_.slice(a, b - a)
+        rest = table_.slice(cuts[-1])
+    if rest is not None and len(rest):
+        yield rest
