@@ -2,10 +2,499 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loomspark.config import BASE, INSTRUCT
+from loomspark.functions.text import LB, WS, base_name, entropy, lines, not_blank, rstrip, strip
+from loomspark.operators import normalize as N
+from loomspark.operators import quality as Q
+from loomspark.operators.budget import apply_budgets
+from loomspark.operators.dedup import canonical_hash, drop_seen, exact_dedup
+from loomspark.operators.ordinal import first_rows, skip_seen, with_prefix_sums, with_rank
+from loomspark.operators.pack import pack_sequences
+from loomspark.operators.split import shard_path, split_of, split_value, with_shards
+from loomspark.operators.tokenizers import CharTokenizer, FileTokenizer, count_with_eos, encode_with_eos
+from loomspark.plans.fixtures import CODE_DOCS, RAW_INSTRUCTIONS, code_docs, conversation_messages, raw_instructions, table
+from loomspark.sources.files import choose_files, from_cursor, load_files
 
-def oracle_sql():
-    return {}
+LENGTH, SEED, VAL_RATIO, SHARD, SAMPLES = 256, 42, 0.1, 64, 20
+SOURCE_LIMIT, TARGET, MAX_ROWS = 30_000, 400_000, 25
+CHAR = CharTokenizer()
+BY_DOC = ["doc_id"]
+Query = Callable[[SparkSession, str], DataFrame]
+
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql is not None:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+def _l(c) -> F.Column:
+    return c.cast("bigint")
+
+
+# ---- SQL parts -----------------------------------------------------------------------------------
+
+def _nb(c: str) -> str:
+    return f"regexp_matches({c}, '[^{WS}]')"
+
+
+def _not_blank(c: str) -> str:
+    return f"coalesce({_nb(c)}, false)"
+
+
+def _stripped(c: str) -> str:
+    return f"regexp_replace({c}, '^[{WS}]+|[{WS}]+$', '', 'g')"
+
+
+_LINES = f"list_filter(regexp_split_to_array(text, '{LB}'), lambda x: {_nb('x')})"
+_COMPACT = f"regexp_replace(substr(text, 1, 8192), '[{WS}]+', '', 'g')"
+_WEIRD_N = f"(length(text) - length(regexp_replace(text, '{Q.WEIRD}', '', 'g')))"
+_B64 = f"(length(c) - length(regexp_replace(c, '{Q.BASE64}', '', 'g')))::DOUBLE / length(c)"
+_ENTROPY = "list_aggregate(string_split(c, ''), 'entropy')"
+_SECRET = f"regexp_matches(text, '(?i){'|'.join(Q.SECRETS)}')"
+_HASH = f"sha256(array_to_string(list_transform(regexp_split_to_array({_stripped('text')}, '{LB}'), lambda x: regexp_replace(x, '[{WS}]+$', '')), chr(10)))"
+
+_JUDGED = f"""WITH {CODE_DOCS},
+parts AS (SELECT *, {_LINES} AS ls, {_COMPACT} AS c FROM code_docs),
+judged AS (SELECT doc_id, source, text, path, CASE
+    WHEN NOT {_not_blank('text')} THEN 'empty'
+    WHEN length(text) < 50 THEN 'too_short'
+    WHEN length(text) > 200000 THEN 'too_long'
+    WHEN string_split(coalesce(path, ''), '/')[-1] IN ('package-lock.json', 'yarn.lock', 'pnpm-lock.yaml') THEN 'lock_file'
+    WHEN (suffix(lower(coalesce(path, '')), '.js') OR suffix(lower(coalesce(path, '')), '.css')) AND len(ls) > 0
+         AND (list_sum(list_transform(ls, lambda x: length(x))) / len(ls) > 300 OR len(list_filter(ls, lambda x: length(x) > 500)) / len(ls) > 0.2) THEN 'minified'
+    WHEN {_WEIRD_N} / length(text) > 0.02 THEN 'weird_chars'
+    WHEN contains(substr(text, 1, 8192), chr(0)) THEN 'binary_or_base64'
+    WHEN length(c) >= 256 AND {_B64} > 0.97 AND {_ENTROPY} > 4.5 THEN 'binary_or_base64'
+    WHEN {_SECRET} THEN 'secret' END AS reject_reason FROM parts)"""
+
+_DEDUP = f"""{_JUDGED},
+hashed AS (SELECT *, CASE WHEN reject_reason IS NULL THEN {_HASH} END AS hash FROM judged),
+marked AS (SELECT *, CASE WHEN reject_reason IS NULL THEN row_number() OVER (PARTITION BY source, hash ORDER BY doc_id) > 1 ELSE false END AS is_dup FROM hashed),
+counted AS (SELECT *, CASE WHEN reject_reason IS NULL AND NOT is_dup THEN (length(text) + 1)::BIGINT ELSE 0 END AS n_tokens FROM marked),
+pre AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_source,
+  coalesce(sum(n_tokens) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_all,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id) AS nr FROM counted)"""
+
+
+# ---- Shared Spark parts --------------------------------------------------------------------------
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = code_docs(spark, sf_dir)
+    return docs.withColumn("reject_reason", Q.reject_reason(F.col("text"), F.lit(None).cast("string"), F.col("path")))
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judged rows with hash, is_dup (within the source) and the character tokens of what stays."""
+    judged = _judged(spark, sf_dir)
+    kept = judged.where("reject_reason is null").withColumn("hash", canonical_hash(F.col("text")))
+    least = kept.groupBy("source", "hash").agg(F.min("doc_id").alias("first__"))
+    kept = kept.join(least, ["source", "hash"]).withColumn("is_dup", F.col("doc_id") != F.col("first__"))
+    kept = kept.select("doc_id", "source", "reject_reason", "is_dup", F.when(~F.col("is_dup"), count_with_eos(CHAR, F.col("text"))).otherwise(0).alias("n_tokens"))
+    rest = judged.where("reject_reason is not null").select("doc_id", "source", "reject_reason", F.lit(False).alias("is_dup"), F.lit(0).cast("bigint").alias("n_tokens"))
+    return kept.unionByName(rest)
+
+
+def _per_source(df: DataFrame, **limits: int) -> DataFrame:
+    """Budgets of all sources in one plan: the source is the first part of the order, and its own sums restart."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.lit(True)
+    if "source_limit" in limits:
+        taken = taken & (F.coalesce(F.sum("n_tokens").over(w), F.lit(0)) < limits["source_limit"])
+    if "max_rows" in limits:
+        taken = taken & (F.count(F.lit(1)).over(w) < limits["max_rows"])
+    return df.withColumn("processed", taken)
+
+
+# ---- Flagship, filters ---------------------------------------------------------------------------
+
+
+@_query(f"{_DEDUP} SELECT source, count(*)::BIGINT AS rows, sum(n_tokens)::BIGINT AS accepted_tokens FROM counted WHERE n_tokens > 0 GROUP BY source")
+def flagship_accepted_tokens(spark, sf_dir):
+    kept = _counted(spark, sf_dir).where("n_tokens > 0")
+    return kept.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_tokens").alias("accepted_tokens"))
+
+
+@_query(f"{_JUDGED} SELECT doc_id, reject_reason FROM judged")
+def reject_reason_per_doc(spark, sf_dir):
+    return _judged(spark, sf_dir).select("doc_id", "reject_reason")
+
+
+@_query(f"{_JUDGED} SELECT coalesce(reject_reason, 'keep') AS reason, count(*)::BIGINT AS n FROM judged GROUP BY 1")
+def reject_reason_counts(spark, sf_dir):
+    return _judged(spark, sf_dir).groupBy(F.coalesce("reject_reason", F.lit("keep")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query(f"WITH {CODE_DOCS} SELECT doc_id, round(CASE WHEN length(text) > 0 THEN {_WEIRD_N} / length(text) ELSE 1 END, 6) AS share, CASE WHEN length(text) > 0 THEN {_WEIRD_N} / length(text) ELSE 1 END > 0.02 AS weird FROM code_docs")
+def weird_char_ratio(spark, sf_dir):
+    t = F.col("text")
+    return code_docs(spark, sf_dir).select("doc_id", F.round(Q.weird_share(t), 6).alias("share"), Q.is_weird(t).alias("weird"))
+
+
+@_query(f"""WITH {CODE_DOCS}, parts AS (SELECT doc_id, path, {_LINES} AS ls FROM code_docs)
+SELECT doc_id, len(ls)::BIGINT AS n_lines,
+  round(CASE WHEN len(ls) > 0 THEN list_sum(list_transform(ls, lambda x: length(x))) / len(ls) ELSE 0 END, 6)::DOUBLE AS mean_line,
+  round(CASE WHEN len(ls) > 0 THEN len(list_filter(ls, lambda x: length(x) > 500)) / len(ls) ELSE 0 END, 6)::DOUBLE AS long_share FROM parts""")
+def minified_stats(spark, sf_dir):
+    n, mean, share = Q.line_stats(F.col("text"))
+    return code_docs(spark, sf_dir).select("doc_id", _l(n).alias("n_lines"), F.round(mean, 6).alias("mean_line"), F.round(share, 6).alias("long_share"))
+
+
+@_query(f"""WITH {CODE_DOCS}, parts AS (SELECT doc_id, {_COMPACT} AS c FROM code_docs)
+SELECT doc_id, length(c)::BIGINT AS n_compact, round(CASE WHEN length(c) > 0 THEN {_B64} ELSE 0 END, 6)::DOUBLE AS share,
+  round(CASE WHEN length(c) > 0 THEN {_ENTROPY} ELSE 0 END, 6)::DOUBLE AS bits FROM parts""")
+def base64_entropy(spark, sf_dir):
+    c = Q.compact_sample(F.col("text"))
+    docs = code_docs(spark, sf_dir).select("doc_id", c.alias("c"))
+    return docs.select("doc_id", _l(F.length("c")).alias("n_compact"), F.round(Q.base64_share(F.col("c")), 6).alias("share"), F.round(entropy(F.col("c")), 6).alias("bits"))
+
+
+@_query(f"WITH {CODE_DOCS} SELECT doc_id, {_SECRET} AS secret FROM code_docs")
+def secret_hits(spark, sf_dir):
+    return code_docs(spark, sf_dir).select("doc_id", Q.has_secret(F.col("text")).alias("secret"))
+
+
+@_query(f"WITH {CODE_DOCS} SELECT doc_id, string_split(path, '/')[-1] AS name, coalesce(string_split(path, '/')[-1] IN ('package-lock.json', 'yarn.lock', 'pnpm-lock.yaml'), false) AS is_lock FROM code_docs")
+def lock_file_names(spark, sf_dir):
+    name = base_name(F.col("path"))
+    return code_docs(spark, sf_dir).select("doc_id", name.alias("name"), F.coalesce(name.isin(Q.LOCK_FILES), F.lit(False)).alias("is_lock"))
+
+
+# ---- Normalize, render ---------------------------------------------------------------------------
+
+
+@_query(f"""WITH raw AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text WHEN doc_id % 3 = 1 THEN ' ' END AS content,
+    CASE WHEN doc_id % 4 = 0 THEN [text, NULL, 'end'] WHEN doc_id % 4 = 1 THEN []::VARCHAR[] END AS code, CASE WHEN doc_id % 5 <> 0 THEN text END AS text,
+    CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS language, CASE WHEN doc_id % 6 = 0 THEN '' WHEN doc_id % 6 = 1 THEN 'a/b.PY' END AS path, CASE WHEN doc_id % 6 < 3 THEN 'lib/c.tsx' END AS file_name FROM documents)
+SELECT doc_id, coalesce(CASE WHEN {_not_blank('content')} THEN content END, CASE WHEN {_not_blank("array_to_string(code, chr(10))")} THEN array_to_string(code, chr(10)) END, CASE WHEN {_not_blank('text')} THEN text END) AS text,
+  coalesce(nullif(language, ''), CASE WHEN suffix(lower(coalesce(nullif(path, ''), file_name, '')), '.py') THEN 'python'
+    WHEN suffix(lower(coalesce(nullif(path, ''), file_name, '')), '.ts') OR suffix(lower(coalesce(nullif(path, ''), file_name, '')), '.tsx') THEN 'typescript' END) AS language,
+  coalesce(nullif(path, ''), nullif(file_name, '')) AS path FROM raw""")
+def normalize_base_first_text(spark, sf_dir):
+    i = F.col("doc_id")
+    raw = table(spark, sf_dir, "documents").select(
+        i.alias("row_offset"),
+        F.when(i % 3 == 0, F.col("text")).when(i % 3 == 1, F.lit(" ")).alias("content"),
+        F.when(i % 4 == 0, F.array("text", F.lit(None), F.lit("end"))).when(i % 4 == 1, F.array().cast("array<string>")).alias("code"),
+        F.when(i % 5 != 0, F.col("text")).alias("text"),
+        F.when(i % 2 == 0, F.col("lang")).otherwise("").alias("language"),
+        F.when(i % 6 == 0, "").when(i % 6 == 1, "a/b.PY").alias("path"),
+        F.when(i % 6 < 3, "lib/c.tsx").alias("file_name"),
+    )
+    return N.normalize(raw, "docs", BASE).select(F.col("row_offset").alias("doc_id"), "text", "language", "path")
+
+
+@_query(f"""WITH {CODE_DOCS} SELECT doc_id, CASE WHEN suffix(lower(coalesce(path, '')), '.py') THEN 'python' WHEN suffix(lower(coalesce(path, '')), '.js') OR suffix(lower(coalesce(path, '')), '.jsx') THEN 'javascript'
+  WHEN suffix(lower(coalesce(path, '')), '.ts') OR suffix(lower(coalesce(path, '')), '.tsx') THEN 'typescript' END AS language FROM code_docs""")
+def infer_language(spark, sf_dir):
+    return code_docs(spark, sf_dir).select("doc_id", N.infer_language("docs", F.col("path")).alias("language"))
+
+
+_ROLE = "CASE WHEN r = 'system' THEN 'system' WHEN r IN ('human', 'user', 'instruction', 'prompt') THEN 'user' WHEN r IN ('gpt', 'assistant', 'model', 'response', 'output') THEN 'assistant' END"
+
+
+@_query(f"""WITH spelled AS (SELECT conv_id, turn, CASE conv_id % 5 WHEN 0 THEN role WHEN 1 THEN ' ' || upper(role) || chr(10) WHEN 2 THEN CASE role WHEN 'user' THEN 'Human' ELSE 'gpt' END WHEN 3 THEN 'tool' ELSE '' END AS raw_role FROM conversations),
+low AS (SELECT *, lower({_stripped('raw_role')}) AS r FROM spelled) SELECT conv_id, turn, {_ROLE} AS role FROM low""")
+def normalize_role_map(spark, sf_dir):
+    i, role = F.col("conv_id") % 5, F.col("role")
+    spelled = F.when(i == 0, role).when(i == 1, F.concat(F.lit(" "), F.upper(role), F.lit("\n"))).when(i == 2, F.when(role == "user", "Human").otherwise("gpt")).when(i == 3, "tool").otherwise("")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", N.normalize_role(spelled).alias("role"))
+
+
+_CHATS = f"""WITH chats AS (SELECT conv_id, list({{'role': role, 'content': text}} ORDER BY turn) AS xs FROM conversations WHERE {_not_blank('text')} AND role IN ('system', 'user', 'assistant') GROUP BY conv_id),
+good AS (SELECT conv_id, CASE WHEN xs[1].role = 'system' THEN xs ELSE list_prepend({{'role': 'system', 'content': '{N.SYSTEM_PROMPT}'}}, xs) END AS xs FROM chats
+  WHERE list_contains(list_transform(xs, lambda m: m.role), 'user') AND list_contains(list_transform(xs, lambda m: m.role), 'assistant')),
+rendered AS (SELECT conv_id, xs, array_to_string(list_transform(xs, lambda m: '<|' || m.role || '|>' || chr(10) || m.content), chr(10)) AS text FROM good)"""
+
+
+def _chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = conversation_messages(spark, sf_dir).withColumnRenamed("conv_id", "row_offset")
+    done = N.normalize(raw, "chats", INSTRUCT).where(N.is_record())
+    return done.withColumnRenamed("row_offset", "conv_id").withColumn("text", N.render())
+
+
+@_query(f"{_CHATS} SELECT conv_id, len(xs)::BIGINT AS n, array_to_string(list_transform(xs, lambda m: m.role), ',') AS roles, xs[1].content AS first_content FROM rendered")
+def messages_from_turns(spark, sf_dir):
+    m = F.col("messages")
+    return _chats(spark, sf_dir).select("conv_id", _l(F.size(m)).alias("n"), F.array_join(F.transform(m, lambda x: x["role"]), ",").alias("roles"), F.get(m, F.lit(0))["content"].alias("first_content"))
+
+
+@_query(f"{_CHATS} SELECT conv_id, text FROM rendered")
+def render_training_text(spark, sf_dir):
+    return _chats(spark, sf_dir).select("conv_id", "text")
+
+
+def _first(*keys: str) -> str:
+    return "coalesce(" + ", ".join(f"CASE WHEN {_not_blank(k)} THEN {k} END" for k in keys) + ")"
+
+
+def _instruct(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    raw = raw_instructions(spark, sf_dir).withColumnRenamed("doc_id", "row_offset")
+    done = N.normalize(raw, name, INSTRUCT)
+    m = F.col("messages")
+    return done.select(F.col("row_offset").alias("doc_id"), F.get(m, F.lit(1))["content"].alias("prompt"), F.get(m, F.lit(2))["content"].alias("answer"))
+
+
+def _pairs(prompt: str, answer: str) -> str:
+    return f"WITH {RAW_INSTRUCTIONS}, pairs AS (SELECT doc_id, {prompt} AS p, {answer} AS a FROM raw) SELECT doc_id, CASE WHEN p <> '' AND a <> '' THEN p END AS prompt, CASE WHEN p <> '' AND a <> '' THEN a END AS answer FROM pairs"
+
+
+@_query(_pairs(_first("instruction", "prompt"), _first("output", "response", "solution")))
+def instruct_generic_pairs(spark, sf_dir):
+    return _instruct(spark, sf_dir, "generic")
+
+
+_TESTS = "array_to_string(test_list, chr(10))"
+_ANSWER = f"coalesce({_first('code', _TESTS)}, '') || chr(10) || chr(10) || 'Tests:' || chr(10) || {_TESTS}"
+
+
+@_query(_pairs(_first("prompt"), f"CASE WHEN test_list IS NOT NULL THEN {_stripped(_ANSWER)} ELSE {_first('code')} END"))
+def mbpp_tests_append(spark, sf_dir):
+    return _instruct(spark, sf_dir, "mbpp")
+
+
+@_query(_pairs(_first("prompt"), f"CASE WHEN {_not_blank('solutions')} THEN CASE WHEN json_valid(solutions) THEN coalesce(json_extract_string(solutions, '$[0]'), solutions) ELSE solutions END WHEN {_not_blank('solution')} THEN solution WHEN {_not_blank('output')} THEN output END"))
+def taco_first_solution(spark, sf_dir):
+    return _instruct(spark, sf_dir, "taco")
+
+
+@_query("""SELECT conv_id, 'chats' AS source, to_json(list({'role': role, 'content': text} ORDER BY turn))::VARCHAR AS messages FROM conversations GROUP BY conv_id""")
+def sft_public_record(spark, sf_dir):
+    rows = conversation_messages(spark, sf_dir).withColumn("source", F.lit("chats"))
+    return rows.select("conv_id", "source", F.to_json("messages", {"ignoreNullFields": "false"}).alias("messages"))
+
+
+@_query(f"""WITH {RAW_INSTRUCTIONS} SELECT CASE WHEN {_first("instruction", "prompt")} IS NULL OR {_first("output", "response", "solution")} IS NULL THEN 'normalize_failed' ELSE 'ok' END AS outcome, count(*)::BIGINT AS n FROM raw GROUP BY 1""")
+def normalize_failed_counts(spark, sf_dir):
+    done = N.normalize(raw_instructions(spark, sf_dir), "generic", INSTRUCT)
+    return done.groupBy(F.when(N.is_record(), "ok").otherwise("normalize_failed").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query(f"""SELECT doc_id, {_stripped("' ' || text || chr(160) || chr(8232)")} AS stripped, regexp_replace(text || ' ' || chr(12288), '[{WS}]+$', '') AS right_stripped, len(regexp_split_to_array(text, '{LB}'))::BIGINT AS n_lines FROM documents""")
+def unicode_strip_lines(spark, sf_dir):
+    t = F.col("text")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        strip(F.concat(F.lit(" "), t, F.lit("\xa0 "))).alias("stripped"),
+        rstrip(F.concat(t, F.lit(" 　"))).alias("right_stripped"),
+        _l(F.size(lines(t))).alias("n_lines"),
+    )
+
+
+# ---- Dedup ---------------------------------------------------------------------------------------
+
+
+@_query(f"SELECT doc_id, {_HASH} AS hash FROM documents")
+def canonical_hash_per_doc(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", canonical_hash(F.col("text")).alias("hash"))
+
+
+@_query(f"WITH h AS (SELECT doc_id, {_HASH} AS hash FROM documents) SELECT doc_id, hash, row_number() OVER (PARTITION BY hash ORDER BY doc_id) > 1 AS is_dup FROM h")
+def exact_dedup_first_wins(spark, sf_dir):
+    return exact_dedup(table(spark, sf_dir, "documents"), F.col("text"), BY_DOC).select("doc_id", "hash", "is_dup")
+
+
+@_query(f"WITH h AS (SELECT source, doc_id, {_HASH} AS hash FROM documents), m AS (SELECT source, row_number() OVER (PARTITION BY hash ORDER BY doc_id) > 1 AS d FROM h) SELECT source, sum(d::INT)::BIGINT AS duplicates, count(*)::BIGINT AS rows FROM m GROUP BY source")
+def dup_count_by_source(spark, sf_dir):
+    marked = exact_dedup(table(spark, sf_dir, "documents"), F.col("text"), BY_DOC)
+    return marked.groupBy("source").agg(F.sum(F.col("is_dup").cast("bigint")).alias("duplicates"), F.count(F.lit(1)).alias("rows"))
+
+
+@_query(f"WITH h AS (SELECT doc_id, {_HASH} AS hash FROM documents) SELECT doc_id FROM h WHERE doc_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM h AS s WHERE s.doc_id % 2 = 0 AND s.hash = h.hash)")
+def seen_set_anti_join(spark, sf_dir):
+    """Two batches, even and odd ids: what the second holds that the first did not."""
+    h = table(spark, sf_dir, "documents").select("doc_id", canonical_hash(F.col("text")).alias("hash"))
+    return drop_seen(h.where("doc_id % 2 = 1"), h.where("doc_id % 2 = 0")).select("doc_id")
+
+
+# ---- Budgets, counters ---------------------------------------------------------------------------
+
+
+@_query(f"{_DEDUP} SELECT source, doc_id FROM pre WHERE before_source < {SOURCE_LIMIT} AND n_tokens > 0")
+def source_budget_cut(spark, sf_dir):
+    taken = _per_source(_counted(spark, sf_dir), source_limit=SOURCE_LIMIT)
+    return taken.where("processed and n_tokens > 0").select("source", "doc_id")
+
+
+@_query(f"{_DEDUP} SELECT doc_id, n_tokens FROM pre WHERE before_all < {TARGET} AND n_tokens > 0")
+def global_budget_cut_sft(spark, sf_dir):
+    return apply_budgets(_counted(spark, sf_dir), BY_DOC, target=TARGET).where("accepted").select("doc_id", "n_tokens")
+
+
+@_query(f"{_DEDUP} SELECT doc_id, n_tokens FROM pre WHERE (before_all // {LENGTH}) * {LENGTH} < {TARGET} AND n_tokens > 0")
+def global_budget_cut_pretrain(spark, sf_dir):
+    return apply_budgets(_counted(spark, sf_dir), BY_DOC, target=TARGET, block=LENGTH).where("accepted").select("doc_id", "n_tokens")
+
+
+@_query(f"{_DEDUP} SELECT source, doc_id FROM pre WHERE nr <= {MAX_ROWS}")
+def max_samples_cut(spark, sf_dir):
+    return _per_source(_counted(spark, sf_dir), max_rows=MAX_ROWS).where("processed").select("source", "doc_id")
+
+
+_COUNTERS = f"SELECT source, count(*)::BIGINT AS processed, count(*) FILTER (reject_reason IS NOT NULL)::BIGINT AS rejected, sum(is_dup::INT)::BIGINT AS duplicates, sum(n_tokens)::BIGINT AS accepted_tokens FROM pre WHERE before_source < {SOURCE_LIMIT} GROUP BY source"
+
+
+def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = _per_source(_counted(spark, sf_dir), source_limit=SOURCE_LIMIT).where("processed")
+    return taken.groupBy("source").agg(F.count(F.lit(1)).alias("processed"), F.count("reject_reason").alias("rejected"), F.sum(F.col("is_dup").cast("bigint")).alias("duplicates"), F.sum("n_tokens").alias("accepted_tokens"))
+
+
+@_query(f"{_DEDUP} {_COUNTERS}")
+def processed_counters(spark, sf_dir):
+    return _counters(spark, sf_dir)
+
+
+@_query(f"{_DEDUP}, counters AS ({_COUNTERS}), named AS (SELECT DISTINCT source AS name FROM documents UNION ALL SELECT 'never_reached') SELECT name, coalesce(processed, 0)::BIGINT AS processed_samples, coalesce(accepted_tokens, 0)::BIGINT AS accepted_tokens FROM named LEFT JOIN counters ON name = source")
+def sources_report(spark, sf_dir):
+    named = table(spark, sf_dir, "documents").select(F.col("source").alias("name")).distinct().union(spark.range(1).select(F.lit("never_reached")))
+    done = named.join(_counters(spark, sf_dir), F.col("name") == F.col("source"), "left")
+    return done.select("name", F.coalesce("processed", F.lit(0)).cast("bigint").alias("processed_samples"), F.coalesce("accepted_tokens", F.lit(0)).cast("bigint").alias("accepted_tokens"))
+
+
+@_query("SELECT doc_id, coalesce(sum(n_chars) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS rank FROM documents")
+def prefix_sums(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars").withColumn("one", F.lit(1))
+    return with_prefix_sums(docs, BY_DOC, {"before": "n_chars", "rank": "one"}).select("doc_id", "before", "rank")
+
+
+# ---- Tokens, packing, split, shards --------------------------------------------------------------
+
+
+@_query("SELECT doc_id, (length(text) + 1)::BIGINT AS n_tokens FROM documents")
+def char_token_counts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", count_with_eos(CHAR, F.col("text")).alias("n_tokens"))
+
+
+@_query("SELECT doc_id, array_to_string(list_append(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: unicode(c) % 200 + 2), 1), ' ') AS tokens FROM documents")
+def char_tokens(spark, sf_dir):
+    ids = encode_with_eos(CHAR, F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(ids.cast("array<string>"), " ").alias("tokens"))
+
+
+_STREAM = """WITH toks AS (SELECT doc_id, list_append(list_transform(list_filter(string_split(text, ''), lambda c: c <> ''), lambda c: unicode(c) % 200 + 2), 1) AS t FROM documents),
+flat AS (SELECT doc_id, unnest(t) AS id, generate_subscripts(t, 1) AS k FROM toks), numbered AS (SELECT id, row_number() OVER (ORDER BY doc_id, k) - 1 AS i FROM flat)"""
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", encode_with_eos(CHAR, F.col("text")).alias("tokens"))
+    return pack_sequences(docs, BY_DOC, LENGTH)
+
+
+@_query(f"{_STREAM} SELECT (i // {LENGTH})::BIGINT AS seq_index, string_agg(id, ' ' ORDER BY i) AS ids FROM numbered GROUP BY 1 HAVING count(*) = {LENGTH}")
+def pack_sequences_char(spark, sf_dir):
+    return _packed(spark, sf_dir).select("seq_index", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
+
+
+@_query(f"SELECT sum(length(text) + 1)::BIGINT AS tokens, (sum(length(text) + 1) // {LENGTH})::BIGINT AS sequences, (sum(length(text) + 1) % {LENGTH})::BIGINT AS dropped FROM documents")
+def pack_totals(spark, sf_dir):
+    total = table(spark, sf_dir, "documents").agg(F.sum(count_with_eos(CHAR, F.col("text"))).alias("tokens"))
+    return total.select("tokens", F.floor(F.col("tokens") / LENGTH).alias("sequences"), (F.col("tokens") % LENGTH).alias("dropped"))
+
+
+_HEX = "('0x' || substr(sha256('{0}42:' || i), 1, 16))::UBIGINT::DOUBLE / 18446744073709551616.0"
+
+
+@_query(f"SELECT i, {_HEX.format('')} AS value, CASE WHEN {_HEX.format('')} < {VAL_RATIO} THEN 'val' ELSE 'train' END AS split FROM (SELECT doc_id AS i FROM documents)")
+def val_split_sequence(spark, sf_dir):
+    i = F.col("doc_id")
+    return table(spark, sf_dir, "documents").select(i.alias("i"), split_value(i, SEED).alias("value"), split_of(i, SEED, VAL_RATIO).alias("split"))
+
+
+@_query(f"SELECT i, {_HEX.format('sft:')} AS value, CASE WHEN {_HEX.format('sft:')} < {VAL_RATIO} THEN 'val' ELSE 'train' END AS split FROM (SELECT doc_id AS i FROM documents)")
+def val_split_sample(spark, sf_dir):
+    i = F.col("doc_id")
+    return table(spark, sf_dir, "documents").select(i.alias("i"), split_value(i, SEED, "sft:").alias("value"), split_of(i, SEED, VAL_RATIO, samples=True).alias("split"))
+
+
+def _manifest(df: DataFrame, tokens, unit: str, ending: str) -> DataFrame:
+    path = shard_path(F.col("split"), F.col("shard"), ending)
+    return df.groupBy("split", "shard").agg(F.sum(tokens).alias("tokens"), F.count(F.lit(1)).alias(unit)).withColumn("path", path)
+
+
+@_query(f"""WITH n AS (SELECT sum(length(text) + 1) // {LENGTH} AS n FROM documents), seqs AS (SELECT unnest(range((SELECT n FROM n)::BIGINT)) AS i),
+s AS (SELECT i, CASE WHEN {_HEX.format('')} < {VAL_RATIO} THEN 'val' ELSE 'train' END AS split FROM seqs), r AS (SELECT split, (row_number() OVER (PARTITION BY split ORDER BY i) - 1) // {SHARD} AS shard FROM s)
+SELECT split, shard::BIGINT AS shard, (count(*) * {LENGTH})::BIGINT AS tokens, count(*)::BIGINT AS sequences, split || '-' || lpad(shard::VARCHAR, 5, '0') || '.bin' AS path FROM r GROUP BY split, shard""")
+def shard_manifest_pretrain(spark, sf_dir):
+    seqs = _packed(spark, sf_dir).withColumn("split", split_of(F.col("seq_index"), SEED, VAL_RATIO))
+    return _manifest(with_shards(seqs, "seq_index", SHARD), F.size("ids").cast("bigint"), "sequences", "bin")
+
+
+@_query(f"""{_CHATS}, numbered AS (SELECT row_number() OVER (ORDER BY conv_id) - 1 AS i, length(text) + 1 AS n FROM rendered),
+s AS (SELECT i, n, CASE WHEN {_HEX.format('sft:')} < {VAL_RATIO} THEN 'val' ELSE 'train' END AS split FROM numbered), r AS (SELECT split, n, (row_number() OVER (PARTITION BY split ORDER BY i) - 1) // {SAMPLES} AS shard FROM s)
+SELECT split, shard::BIGINT AS shard, sum(n)::BIGINT AS tokens, count(*)::BIGINT AS samples, split || '-' || lpad(shard::VARCHAR, 5, '0') || '.jsonl' AS path FROM r GROUP BY split, shard""")
+def shard_manifest_sft(spark, sf_dir):
+    chats = _chats(spark, sf_dir).select("conv_id", count_with_eos(CHAR, F.col("text")).alias("n"))
+    ranked = with_rank(chats, ["conv_id"], "i")
+    ranked = ranked.withColumn("split", split_of(F.col("i"), SEED, VAL_RATIO, samples=True))
+    return _manifest(with_shards(ranked, "i", SAMPLES), F.col("n"), "samples", "jsonl")
+
+
+@_query(f"""WITH n AS (SELECT sum(length(text) + 1) // {LENGTH} AS n FROM documents), seqs AS (SELECT unnest(range((SELECT n FROM n)::BIGINT)) AS i),
+s AS (SELECT CASE WHEN {_HEX.format('')} < {VAL_RATIO} THEN 'val' ELSE 'train' END AS split FROM seqs) SELECT split, count(*)::BIGINT AS sequences, (count(*) * {LENGTH})::BIGINT AS tokens FROM s GROUP BY split""")
+def split_totals(spark, sf_dir):
+    seqs = _packed(spark, sf_dir).groupBy(split_of(F.col("seq_index"), SEED, VAL_RATIO).alias("split"))
+    return seqs.agg(F.count(F.lit(1)).alias("sequences"), F.sum(F.size("ids").cast("bigint")).alias("tokens"))
+
+
+@_query()
+def bpe_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    tokenizer = FileTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return table(spark, sf_dir, "documents").select("doc_id", count_with_eos(tokenizer, F.col("text")).alias("n_tokens"))
+
+
+# ---- Scans ---------------------------------------------------------------------------------------
+
+FILES = ["data/python/train-10.parquet", "data/python/train-2.parquet", "data/java/train-0.jsonl", "README.md", "data/python/test-0.JSON", "other/python/train-1.parquet", "data/Python-extra/train-3.parquet"]
+
+
+@_query("SELECT (row_number() OVER (ORDER BY f) - 1)::BIGINT AS file_index, f AS path FROM (SELECT unnest(" + str(FILES) + ") AS f) WHERE regexp_matches(lower(f), '[.](parquet|jsonl|json)$') AND starts_with(f, 'data/') AND contains(lower(f), 'python') ORDER BY f LIMIT 3")
+def file_discovery_rank(spark, sf_dir):
+    chosen = choose_files(FILES, data_dir="data", config_name="PYTHON", limit=3)
+    return spark.createDataFrame(list(enumerate(chosen)), "file_index bigint, path string")
+
+
+@_query("WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row_offset FROM documents) SELECT doc_id, row_offset::BIGINT AS row_offset FROM n WHERE row_offset > 100")
+def cursor_scan_resume(spark, sf_dir):
+    """The scan after a cursor that stands behind row 100 of the first file (rows lie in order of doc_id)."""
+    raw = load_files(spark, [f"{sf_dir}/documents.parquet"])
+    return from_cursor(raw, 0, 100).select("doc_id", "row_offset")
+
+
+@_query("SELECT doc_id FROM documents ORDER BY doc_id OFFSET 100")
+def skip_seen_offset(spark, sf_dir):
+    return skip_seen(table(spark, sf_dir, "documents").select("doc_id"), BY_DOC, 100)
+
+
+@_query("SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 20")
+def preview_first_rows(spark, sf_dir):
+    return first_rows(table(spark, sf_dir, "documents").select("doc_id", "source"), BY_DOC, 20)
+
+
+@_query(f"SELECT count(*)::BIGINT AS blank FROM documents WHERE NOT {_not_blank('text')}")
+def blank_texts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").agg(F.count_if(~not_blank(F.col("text"))).alias("blank"))
