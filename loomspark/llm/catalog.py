@@ -9,6 +9,7 @@ from loomspark.llm.minhash import op8_minhash
 from loomspark.llm.mixing import op9_mixing
 from loomspark.llm.pii import op6_pii
 from loomspark.llm.sentencepiece_viterbi import op10_sentencepiece
+from loomspark.llm.suffix_dedup import op4_suffix_dedup
 from loomspark.llm.token_counts import op1_token_counts
 from loomspark.llm.vector_dedup import op7_vector_dedup
 
@@ -18,6 +19,7 @@ def queries():
         "op1_token_counts": op1_token_counts,
         "op2_media": op2_media,
         "op3_chat_format": op3_chat_format,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_language_id": op5_language_id,
         "op6_pii": op6_pii,
         "op7_vector_dedup": op7_vector_dedup,
