@@ -23,8 +23,10 @@ an empty table. Input columns with the name of an output column are replaced.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,7 +40,7 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 #: Kinds of piece in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-PAIRS, WORDS, LONGEST_WORD = 1 << 19, 1 << 20, 48
+PAIRS, WORDS, LONGEST_WORD = 1 << 18, 1 << 18, 48
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -80,15 +82,22 @@ class Vocabulary:
         self.ids = {p: i for i, (p, _, k) in enumerate(pieces) if k in (NORMAL, USER)}
         self.bytes = {int(p[1:-1], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         self.unknown = next((i for i, (_, _, k) in enumerate(pieces) if k == UNKNOWN), 0)
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p))}
+        self.tree: dict = {}  # children by character; under None the id of the piece that ends here
+        for p, i in self.ids.items():
+            node = self.tree
+            for c in p:
+                node = node.setdefault(c, {})
+            node[None] = i
         self.longest = max(map(len, self.ids), default=1)
         self.low = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10
         self.raw = [bytes([int(p[1:-1], 16)]) if k == BYTE else b"" if k == CONTROL else p.encode() if k != UNKNOWN else " ⁇ ".encode() for p, _, k in pieces]
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self.histories: dict[int, tuple[list[float], list[str], list[str]]] = {}
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p in self.ids))
         whole = not any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         self.runs = re.compile(f"[{alone or chr(0)}]|{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+") if whole else None
-        self.words = _Words(self)
+        self.words: dict[str, bytes] = {}  # ids of runs that no piece can cross
+        self.bpe, self.scale = kind == BPE, len(pieces)
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -110,121 +119,183 @@ class Vocabulary:
             raise ValueError(f"no search for model type {kind}")
         return cls(pieces, kind, dummy)
 
-    def merged(self, text: str) -> list[str]:
-        """text by merging the best neighbours, leftmost first; for a pair of pieces only, so it is short."""
-        parts = list(text)
-        while True:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                piece = self.ids.get(parts[i] + parts[i + 1])
-                if piece is not None and (best is None or self.scores[piece] > best):
-                    best, at = self.scores[piece], i
-            if best is None:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    def history(self, piece: int) -> tuple[list[float], list[str], list[str]]:
+        """How the piece's characters merge, best neighbours first, leftmost of equals: the scores in order, and
+        before and after each merge the part at the left and at the right end."""
+        found = self.histories.get(piece)
+        if found is None:
+            parts = list(self.pieces[piece])
+            scores, left, right = [], [parts[0]], [parts[-1]]
+            while True:
+                best, at = None, 0
+                for i in range(len(parts) - 1):
+                    joined = self.ids.get(parts[i] + parts[i + 1])
+                    if joined is not None and (best is None or self.scores[joined] > best):
+                        best, at = self.scores[joined], i
+                if best is None:
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                scores.append(best)
+                left.append(parts[0])
+                right.append(parts[-1])
+            if len(parts) > 1:  # it never comes about by merging
+                scores, left, right = [], [], []
+            found = self.histories[piece] = (scores, left, right)
+        return found
 
     def side_by_side(self, left: int, right: int) -> bool:
-        found = self.pairs.get((left, right))
+        """Would the characters of both pieces merge to just these two? Both merge on their own, whichever has the
+        better merge first, unless a merge across their border is better than either."""
+        key = left * self.scale + right
+        found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
-            a, b = self.pieces[left], self.pieces[right]
-            found = self.pairs[left, right] = self.merged(a + b) == [a, b]
+            (sa, _, ends), (sb, begins, _) = self.history(left), self.history(right)
+            i = j = 0
+            found = bool(ends) and bool(begins)
+            while found:
+                a, b = sa[i] if i < len(sa) else None, sb[j] if j < len(sb) else None
+                across = self.ids.get(ends[i] + begins[j])
+                if across is not None and (a is None or self.scores[across] > a) and (b is None or self.scores[across] >= b):
+                    found = False
+                elif a is None and b is None:
+                    break
+                elif b is None or (a is not None and a >= b):
+                    i += 1
+                else:
+                    j += 1
+            self.pairs[key] = found
         return found
 
     def fallback(self, char: str) -> list[int]:
-        return [self.bytes[b] for b in char.encode()] if self.bytes else [self.unknown]
-
-    def search(self, chars: Iterable[str]) -> Iterator[list[int]]:
-        """Ids of the marked text chars, in lists, each as soon as all live paths agree on it."""
-        text = ""
-        score: list[float] = [0.0]
-        back: list[tuple[int, list[int]]] = [(-1, [])]
-        live = [0]
-        for char in chars:
-            text += char
-            end, best, alive = len(text), None, []
-            for start in live:
-                part = text[start:end]
-                piece = self.ids.get(part)
-                if piece is not None:
-                    if self.kind == BPE:
-                        before = back[start][1]
-                        if (best is None) and (not before or before[-1] in self._bytes or self.side_by_side(before[-1], piece)):
-                            best = (0.0, start, [piece])
-                    elif best is None or score[start] + self.scores[piece] > best[0]:
-                        best = (score[start] + self.scores[piece], start, [piece])
-                if part in self.prefixes:
-                    alive.append(start)
-            if best is None or (self.kind == UNIGRAM and char not in self.ids and score[end - 1] + self.low > best[0]):
-                best = (score[end - 1] + self.low, end - 1, self.fallback(char))
-            score.append(best[0])
-            back.append(best[1:])
-            live = [*alive, end]
-            if len(live) == 1 or end >= 4 * self.longest:
-                at = self._meet(back, live)
+        return [self.bytes[b] for b in char.encode("utf-8", "replace")] if self.bytes else [self.unknown]
+
+    def _step(self, char: str, live: list[tuple[int, dict]], begin: list[int], last: list[int], score: list[float]) -> list[tuple[int, dict]]:
+        """Adds the boundary after char; returns the starts that some piece can carry on past it.
+
+        Of each boundary: where the best piece that ends there begins, its id (or minus two less the character of
+        a fallback), and for unigram models the path's score.
+        """
+        end, start, best, gain = len(begin), -1, -1, 0.0
+        alive = []
+        for entry in live:
+            at, node = entry
+            node = node.get(char)
+            if node is None:
+                continue
+            piece = node.get(None)
+            if piece is None:
+                alive.append((at, node))
+                continue
+            if self.bpe:
+                if start < 0:
+                    before = last[at]
+                    if before < 0:
+                        start, best = at, piece
+                    else:
+                        fits = self.pairs.get(before * self.scale + piece)
+                        if fits or (fits is None and self.side_by_side(before, piece)):
+                            start, best = at, piece
+            elif start < 0 or score[at] + self.scores[piece] > gain:
+                start, best, gain = at, piece, score[at] + self.scores[piece]
+            if len(node) > 1:
+                alive.append((at, node))
+        if start < 0 or (not self.bpe and char not in self.ids and score[end - 1] + self.low > gain):
+            start, best, gain = end - 1, -2 - ord(char), score[end - 1] + self.low
+        begin.append(start)
+        last.append(best)
+        score.append(gain)
+        return alive
+
+    def search(self, text: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of the marked text, in lists, each as soon as all live paths agree on it."""
+        top, window = self.tree, 4 * self.longest
+        score, begin, last = [0.0], [-1], [-1]
+        live: list[tuple[int, dict]] = []
+        for char in text:
+            live.append((len(begin) - 1, top))
+            live = self._step(char, live, begin, last, score)
+            end = len(begin) - 1
+            if not live or end >= window:
+                at = self._meet(begin, [*(x[0] for x in live), end]) if live else end
                 if at:
-                    yield self._path(back, at)
-                    text, live = text[at:], [i - at for i in live]
+                    yield self._path(begin, last, at)
+                    live = [(i - at, node) for i, node in live]
                     score = [x - score[at] for x in score[at:]]
-                    last = back[at][1]
-                    back = [(-1, last), *((i - at, x) for i, x in back[at + 1 :])]
-        yield self._path(back, len(text))
-
-    @property
-    def _bytes(self) -> set[int]:
-        if not hasattr(self, "_byte_ids"):
-            self._byte_ids = {*self.bytes.values(), self.unknown}
-        return self._byte_ids
+                    begin = [-1, *(i - at for i in begin[at + 1 :])]
+                    last = last[at:]
+        if len(begin) > 1:
+            yield self._path(begin, last, len(begin) - 1)
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Puts the ids of short words into the cache. In sorted order the trellis of a shared beginning stays."""
+        score, begin, last, lives = [0.0], [-1], [-1], [[]]
+        before = ""
+        for word in sorted(words):
+            same = 0
+            for a, b in zip(before, word):
+                if a != b:
+                    break
+                same += 1
+            del score[same + 1 :], begin[same + 1 :], last[same + 1 :], lives[same + 1 :]
+            for at in range(same, len(word)):
+                lives.append(self._step(word[at], [*lives[at], (at, self.tree)], begin, last, score))
+            self.words[word] = array("i", self._path(begin, last, len(word))).tobytes()
+            before = word
 
     @staticmethod
-    def _meet(back: list[tuple[int, list[int]]], live: list[int]) -> int:
+    def _meet(begin: list[int], live: list[int]) -> int:
         """The last boundary that the paths to all live boundaries share."""
         heads = set(live)
         while len(heads) > 1:
             top = max(heads)
             heads.remove(top)
-            heads.add(back[top][0])
+            heads.add(begin[top])
         return heads.pop()
 
-    @staticmethod
-    def _path(back: list[tuple[int, list[int]]], at: int) -> list[int]:
-        out: list[list[int]] = []
+    def _path(self, begin: list[int], last: list[int], at: int) -> list[int]:
+        out: list[int] = []
         while at > 0:
-            at, ids = back[at]
-            out.append(ids)
-        return [i for ids in reversed(out) for i in ids]
+            piece = last[at]
+            if piece >= 0:
+                out.append(piece)
+            else:
+                out.extend(reversed(self.fallback(chr(-2 - piece))))
+            at = begin[at]
+        out.reverse()
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as 32-bit integers in the machine's order."""
+        marked = [(MARK if self.dummy_prefix else "") + t.replace(" ", MARK) if t else "" for t in texts]
+        if self.runs is None:
+            return [b"".join(array("i", ids).tobytes() for ids in self.search(t)) for t in marked]
+        split = [self.runs.findall(t) for t in marked]
+        new = set()
+        for words in split:
+            new.update(words)
+        new.difference_update(self.words)
+        if len(self.words) + len(new) > WORDS:
+            self.words.clear()
+            new = {w for words in split for w in words}
+        long = {w for w in new if len(w) > LONGEST_WORD}
+        self.learn(new - long)
+        for w in long:
+            self.words[w] = b"".join(array("i", ids).tobytes() for ids in self.search(w))
+        out = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        for w in long:
+            del self.words[w]
+        return out
 
     def encode(self, text: str) -> bytes:
-        """Ids as 32-bit integers in the machine's order."""
-        if not text:
-            return b""
-        marked = (MARK if self.dummy_prefix else "") + text.replace(" ", MARK)
-        if self.runs is not None:
-            return b"".join(map(self.words.__getitem__, self.runs.findall(marked)))
-        return b"".join(np.array(ids, np.int32).tobytes() for ids in self.search(marked))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: Iterable[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if self.dummy_prefix and text[:1] == " " else text
 
 
-class _Words(dict):
-    """Ids of runs that no piece can cross, as bytes; bounded."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: str) -> bytes:
-        ids = b"".join(np.array(x, np.int32).tobytes() for x in self.vocabulary.search(word))
-        if len(word) <= LONGEST_WORD:
-            if len(self) >= WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
-
-
 _LOADED: dict[str, Vocabulary] = {}
 
 
@@ -234,16 +305,26 @@ def vocabulary(path: str) -> Vocabulary:
     return _LOADED[path]
 
 
+def _slices(batches: Iterator[pa.Array], rows: int = 512) -> Iterator[pa.Array]:
+    """Small parts of large batches, so that ids of a few rows only are held."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
+def _id_lists(ids: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+
+
 def encode(df: DataFrame, path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """df with out_col: the ids of each whole text."""
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = vocabulary(path)
-        for batch in batches:
-            ids = [model.encode(x.as_py()) for x in batch]
-            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+        for batch in _slices(batches):
+            yield _id_lists(model.encode_all(batch.to_pylist()))
 
     kept = without(df, out_col) if text_col.lower() != out_col.lower() else df
     return kept.withColumn(out_col, ids_of(text_or_empty(text_col)))
@@ -255,21 +336,37 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
     @F.arrow_udf("string")
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = vocabulary(path)
-        for batch in batches:
-            flat, ends = batch.values.to_numpy(zero_copy_only=False), batch.offsets.to_numpy()
-            yield pa.array([model.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(ends, ends[1:], batch.is_valid().to_pylist())], pa.string())
+        for batch in _slices(batches):
+            yield pa.array([model.decode(x.as_py()) if x.is_valid else None for x in batch], pa.string())
 
     kept = without(df, out_col) if ids_col.lower() != out_col.lower() else df
     return kept.withColumn(out_col, text_of(F.col(ids_col)))
 
 
+def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", *, ids_col: str = "ids", digest_col: str = "decoded_sha256", same_col: str = "round_trip") -> DataFrame:
+    """encode, and in the same worker decode: the ids, the digest of the decoded text, and whether it is the
+    text (its own U+2581 read as spaces)."""
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("digest", pa.string()), ("same", pa.bool_())])
+
+    @F.arrow_udf("struct<ids:array<int>,digest:string,same:boolean>")
+    def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = vocabulary(path)
+        for batch in _slices(batches):
+            texts = batch.to_pylist()
+            ids, digests, same = model.encode_all(texts), [], []
+            for text, own in zip(texts, ids):
+                decoded = model.decode(array("i", own))
+                digests.append(hashlib.sha256(decoded.encode()).hexdigest())
+                same.append(decoded == text.replace(MARK, " "))
+            yield pa.StructArray.from_arrays([_id_lists(ids), pa.array(digests, pa.string()), pa.array(same, pa.bool_())], fields=list(kind))
+
+    kept = without(df, ids_col, digest_col, same_col)
+    names = [F.col(f"`{c}`") for c in kept.columns]
+    done = df.select(*names, coded(text_or_empty(text_col)).alias("coded__"))
+    return done.select(*names, F.col("coded__.ids").alias(ids_col), F.col("coded__.digest").alias(digest_col), F.col("coded__.same").alias(same_col))
+
+
 def op10_sentencepiece(spark, sf_dir):
-    path = tokenizer_path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decode(encode(docs, path), path).select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_ids"),
-        "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.translate(text_or_empty(), MARK, " ")).alias("round_trip"),
-    )
+    coded = encode_and_decode(docs, tokenizer_path("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), "ids", "decoded_sha256", "round_trip")
