@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import table
+from loomspark.llm.common import bounded_batches, table
 
 Turns = list[tuple[str, str]]
 START, END = "<|im_start|>", "<|im_end|>"
@@ -87,6 +87,8 @@ _ARROW = pa.struct([("roles", pa.list_(pa.string())), ("formatted", pa.string())
 def format_chats(turns: DataFrame, template: Callable[[Turns], str] = marked_turns, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per conversation: conv, and chat with roles (in order), formatted, spans, rewritten_at."""
 
+    bounded_batches(turns.sparkSession)
+
     def rendered(batch: pa.Array) -> pa.Array:
         out = []
         for row in batch:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -20,6 +21,14 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def bounded_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Texts reach Python workers in batches of at most so many bytes, where the session still has Spark's
+    default of 64 MB: a worker holds a batch several times over (as Arrow, as strings, as results)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).lower() in ("67108864b", "67108864", "64m", "64mb"):
+        spark.conf.set(key, most)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the session names in spark.checkpoint.dir; one of our own only where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -70,6 +79,12 @@ class Stored:
         remove(self.spark, self.path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished steps now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     return Stored(df, name).df()
 

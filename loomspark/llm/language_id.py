@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import table, text_or_empty, without
+from loomspark.llm.common import bounded_batches, table, text_or_empty, without
 
 #: Fixed: languages by family. A language not listed is a family of its own.
 FAMILIES = {
@@ -131,12 +131,13 @@ def _sparse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 800) -> Model:
     """A model from the rows of labelled whose language isn't null."""
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 40)).alias("h"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     chosen = F.lit(False)
     for lang, n in counts.items():  # a share that holds the wanted number with ease; the surplus goes below
         chosen = chosen | ((F.col("lang") == lang) & (F.col("h") < int((1 << 40) * min(1.0, (1.2 * per_language + 40) / n))))
-    found = rows.where(chosen).select("h", "lang", F.arrow_udf(_sparse, "struct<at:binary,value:binary>")("text").alias("x")).where("x is not null").collect()
+    found = rows.where(chosen).select("h", "lang", F.arrow_udf(_sparse, "struct<at:binary,value:binary>").asNondeterministic()("text").alias("x")).where("x is not null").collect()
     taken: dict[str, list] = {}
     for r in sorted(found, key=lambda r: (r["lang"], r["h"], r["x"]["at"], r["x"]["value"])):
         if len(own := taken.setdefault(r["lang"], [])) < per_language:
@@ -149,13 +150,15 @@ def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def identify(df: DataFrame, model: Model, text_col: str = "text", *, lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
     """df with the predicted language and its score."""
+    bounded_batches(df.sparkSession)
     kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([dict(zip(("lang", "score"), model.predict(x.as_py()))) for x in batch], kind)
 
-    guess = F.arrow_udf(predicted, "struct<lang:string,score:double>")(text_or_empty(text_col))
+    # Not deterministic to the optimizer, else a filter on the result would run it a second time.
+    guess = F.arrow_udf(predicted, "struct<lang:string,score:double>").asNondeterministic()(text_or_empty(text_col))
     kept = without(df, lang_out, score_out)
     names = [f"`{c}`" for c in kept.columns]
     return df.select(*names, guess.alias("guess__")).select(*names, F.col("guess__.lang").alias(lang_out), F.col("guess__.score").alias(score_out))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from loomspark.llm.common import scratch_path, table, text_or_empty
+from loomspark.llm.common import bounded_batches, scratch_path, table, text_or_empty
 
 WIDTH = 64
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -232,6 +232,7 @@ def _encoded(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 def write_media(df: DataFrame, path: str, key_col: str = "doc_id", text_col: str = "text", **options: object) -> None:
     """Stores the texts of df as images in archives below path."""
+    bounded_batches(df.sparkSession)
     df.sparkSession.dataSource.register(MediaArchives)
     rows = df.select(F.col(key_col).cast("bigint").alias("key"), F.arrow_udf(_encoded, "binary")(text_or_empty(text_col)).alias("media"))
     rows.write.format("media_archives").mode("append").options(path=path, **options).save()
@@ -239,6 +240,7 @@ def write_media(df: DataFrame, path: str, key_col: str = "doc_id", text_col: str
 
 def read_media(spark: SparkSession, path: str, **options: object) -> DataFrame:
     """One row per member: key, archive, offset, media, error."""
+    bounded_batches(spark)
     spark.dataSource.register(MediaArchives)
     return spark.read.format("media_archives").options(path=path, **options).load()
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import table, without
+from loomspark.llm.common import bounded_batches, table, without
 
 KINDS = ("email", "phone", "card", "ip", "iban", "ssn", "date", "secret")
 _LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -218,6 +218,7 @@ def default_key() -> bytes:
 
 def pseudonymize(df: DataFrame, key: bytes, text_col: str = "text", *, out_col: str | None = None, count_prefix: str | None = "n_") -> DataFrame:
     """df with the texts' values replaced in out_col (default: text_col itself), and a count of each kind."""
+    bounded_batches(df.sparkSession)
     kind = pa.struct([("text", pa.string()), *((k, pa.int64()) for k in KINDS)])
 
     def replaced(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import table, text_or_empty, tokenizer_path, without
+from loomspark.llm.common import bounded_batches, table, text_or_empty, tokenizer_path, without
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
@@ -320,11 +320,14 @@ def _id_lists(ids: list[bytes]) -> pa.Array:
 def encode(df: DataFrame, path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """df with out_col: the ids of each whole text."""
 
+    bounded_batches(df.sparkSession)
+
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = vocabulary(path)
         for batch in _slices(batches):
             yield _id_lists(model.encode_all(batch.to_pylist()))
+        model.words.clear()  # the worker may serve other stages next
 
     kept = without(df, out_col) if text_col.lower() != out_col.lower() else df
     return kept.withColumn(out_col, ids_of(text_or_empty(text_col)))
@@ -333,6 +336,8 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out_col: str = "ids
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """df with out_col: the text of each list of ids; null for a null list."""
 
+    bounded_batches(df.sparkSession)
+
     @F.arrow_udf("string")
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = vocabulary(path)
@@ -346,6 +351,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
 def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", *, ids_col: str = "ids", digest_col: str = "decoded_sha256", same_col: str = "round_trip") -> DataFrame:
     """encode, and in the same worker decode: the ids, the digest of the decoded text, and whether it is the
     text (its own U+2581 read as spaces)."""
+    bounded_batches(df.sparkSession)
     kind = pa.struct([("ids", pa.list_(pa.int32())), ("digest", pa.string()), ("same", pa.bool_())])
 
     @F.arrow_udf("struct<ids:array<int>,digest:string,same:boolean>")
@@ -359,6 +365,7 @@ def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", *, ids_c
                 digests.append(hashlib.sha256(decoded.encode()).hexdigest())
                 same.append(decoded == text.replace(MARK, " "))
             yield pa.StructArray.from_arrays([_id_lists(ids), pa.array(digests, pa.string()), pa.array(same, pa.bool_())], fields=list(kind))
+        model.words.clear()
 
     kept = without(df, ids_col, digest_col, same_col)
     names = [F.col(f"`{c}`") for c in kept.columns]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import table, text_or_empty, tokenizer_path, without
+from loomspark.llm.common import bounded_batches, table, text_or_empty, tokenizer_path, without
 
 _LOADED: dict[str, object] = {}
 
@@ -64,6 +64,8 @@ def pieces(text: str, most: int) -> Iterator[str]:
 def count_tokens(df: DataFrame, path: str, text_col: str = "text", out_col: str = "n_tokens", *, batch_bytes: int = 1 << 20, piece_bytes: int = 1 << 16, split_long: bool = True) -> DataFrame:
     """df with out_col: the number of tokens the library for the file at path gives the whole text."""
 
+    bounded_batches(df.sparkSession)
+
     @F.arrow_udf("bigint")
     def n_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import Stored, groups, table
+from loomspark.llm.common import Stored, bounded_batches, groups, table
 from loomspark.llm.components import connected_components
 
 BLOCK, TILE, AROUND = 512, 1024, 64
@@ -171,6 +171,7 @@ def _audit(vectors: Stored, queries: int, threshold: float) -> DataFrame:
 
 def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", *, threshold: float = 0.93, floor: float = 0.85, k: int = 16, tables: int = 12, recall: float = 0.995, queries: int = 256, rounds: int = 4, forests: int = 6) -> DataFrame:
     """(id, n_links, component_id, kept) for each row of df."""
+    bounded_batches(df.sparkSession)
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).cast("string").alias("label"))
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
     usable = F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("vector") > 0) & finite & F.exists("vector", lambda v: v != 0), F.lit(False))
