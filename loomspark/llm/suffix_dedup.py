@@ -15,8 +15,10 @@ another, is removed. Matches never cross documents.
   that its run's strings occur nowhere else; a name whose runs all have the same whole context settles that
   they all do.
 * The remaining suffixes, those of runs with different contexts under one name (the edges of
-  copies and passages), are merged by the name of their first ``width`` bytes, one representative for each context with the
-  number of its copies. Equal neighbours are repeats; the starts that stay alone are not.
+  copies and passages), are merged in two steps, one representative for each context with the number of its copies. First in
+  blocks of 16 starts: a block whose strings' common core is met once is alone, one whose whole context is met again
+  is repeated. Then, for the blocks that neither settles, single starts are merged by the names of their first
+  ``width`` bytes. Equal neighbours are repeats; the starts that stay alone are not.
 
 No group is ever gathered in one task: all counting is by aggregates that combine before the shuffle. Runs
 and lonely starts are collected for one document only, so are bounded by its length. Texts are read in
@@ -36,10 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import Stored, table, text_or_empty
+from loomspark.llm.common import Stored, bounded_batches, release, table, text_or_empty
 from loomspark.llm.shingles import mixed
 
-WIDTH, REACH = 400, 320
+WIDTH, REACH, STARTS = 400, 320, 16
 CHUNK = 1 << 20
 _U64 = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240611))
@@ -48,8 +50,9 @@ _LEVEL = _RNG.integers(1, 2**63, (6, 3), dtype=np.uint64) * _U64(2) + _U64(1)
 
 
 def triple(a: np.ndarray, b: np.ndarray, c: np.ndarray, level: int) -> np.ndarray:
+    """A name linear in the three names: with random odd factors, sums of random bytes' names keep apart."""
     p = _LEVEL[level]
-    return mixed(a * p[0] + b * p[1] + c * p[2])
+    return a + b * p[1] + c * p[2]
 
 
 def names(data: np.ndarray, level: int) -> list[np.ndarray]:
@@ -65,7 +68,8 @@ def names(data: np.ndarray, level: int) -> list[np.ndarray]:
 def _whole(big: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
     """Names of strings of 243 to 729 bytes: the triple of 243-byte names that cover them."""
     last = start + length - 243
-    return triple(big[start], big[np.minimum(start + 243, last)], big[last], 5) + _U64(1) * np.asarray(length, np.uint64)
+    p = _LEVEL[5]
+    return mixed(mixed(big[start]) * p[0] + mixed(big[np.minimum(start + 243, last)]) * p[1] + mixed(big[last]) * p[2] + np.asarray(length, np.uint64))
 
 
 def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -85,7 +89,7 @@ def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         last = np.concatenate([first[1:], [starts]]) - 1
         place = sampled[first]
         context = _whole(level[5], first, last - first + WIDTH) ^ mixed((place - first).astype(np.uint64))
-        found.append((level[4][place], context, first + at, last + at))
+        found.append((mixed(level[4][place]), context, first + at, last + at))
     if not found:
         return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
     return tuple(np.concatenate(c) for c in zip(*found))
@@ -101,34 +105,87 @@ def _runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             yield pa.ListArray.from_arrays(ends, rows)
 
 
-def starts_named(data: bytes, first: int, last: int) -> np.ndarray:
-    """The names of the strings of width bytes at the starts first to last (at most REACH of them)."""
-    big = names(np.frombuffer(data, np.uint8)[first : last + WIDTH], 5)[5]
-    return _whole(big, np.arange(last - first + 1), WIDTH)
+def _regions(first: np.ndarray, last: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
+    """The runs in parts that lie close together: their numbers, and the region of the text they need."""
+    part = first // CHUNK
+    for p in np.unique(part):
+        rows = np.flatnonzero(part == p)
+        yield rows, int(first[rows].min()), int(last[rows].max()) + WIDTH
 
 
-_STARTS = pa.list_(pa.struct([("name", pa.int64()), ("copies", pa.int64()), ("first", pa.int64()), ("starts", pa.list_(pa.int64()))]))
+def blocks(data: bytes, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    """The runs first to last in blocks at fixed places before their sampled suffix: run, number, core, context, first and last start."""
+    found = []
+    for rows, start, end in _regions(first, last):
+        level = names(np.frombuffer(data, np.uint8)[start:end], 5)
+        a, z = first[rows] - start, last[rows] - start
+        place = z + np.argmin(level[3][z[:, None] + np.arange(REACH)] >> _U64(32), axis=1)
+        least = (place - z) // STARTS
+        many = (place - a) // STARTS - least + 1
+        run = np.repeat(np.arange(len(rows)), many)
+        number = least[run] + np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
+        place, edge = place[run], place[run] - STARTS * number
+        low, high = np.maximum(a[run], edge - STARTS + 1), np.minimum(z[run], edge)
+        core = _whole(level[5], edge, WIDTH - STARTS + 1)
+        context = _whole(level[5], low, high - low + WIDTH) ^ mixed((place - low).astype(np.uint64))
+        found.append((rows[run], number, core.view(np.int64), context.view(np.int64), low + start, high + start))
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def starts_named(data: bytes, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    """Each start of the runs: run, the name of its string of width bytes, the start."""
+    found = []
+    for rows, start, end in _regions(first, last):
+        big = names(np.frombuffer(data, np.uint8)[start:end], 5)[5]
+        many = last[rows] - first[rows] + 1
+        run = np.repeat(np.arange(len(rows)), many)
+        at = first[rows][run] - start + np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
+        found.append((rows[run], _whole(big, at, WIDTH).view(np.int64), at + start))
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def _numbers(lists: pa.ListArray, field: str) -> np.ndarray:
+    """A field of all structs in lists, one list after the other."""
+    return lists.flatten().field(field).to_numpy(zero_copy_only=False)
+
+
+def _each(make, fields: list[str]):
+    """Rows that make(data, first, last) gives for the runs wanted of each text, with the run's name and copies."""
+
+    def each(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for text, wanted in texts:
+            for at in range(0, len(text), 64):
+                part = wanted.slice(at, 64)
+                name, copies, first, last = (_numbers(part, f) for f in ("name", "copies", "first", "last"))
+                ends = np.cumsum([0, *part.value_lengths().to_pylist()])
+                columns, sizes = [[] for _ in fields], [0]
+                for t, a, z in zip(text.slice(at, 64), ends, ends[1:]):
+                    run, *rest = make(t.as_py().encode("utf-8", "replace"), first[a:z], last[a:z])
+                    for c, x in zip(columns, (name[a:z][run], copies[a:z][run], *rest)):
+                        c.append(x)
+                    sizes.append(len(run))
+                rows = pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in columns], fields)
+                yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), rows)
+
+    return F.arrow_udf(each, "array<struct<" + ",".join(f"{f}:bigint" for f in fields) + ">>")
+
+
+_BLOCKS = ["name", "copies", "k", "core", "context", "first", "last"]
+_STARTS = ["name", "copies", "start", "at"]
 
 
-def _starts(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for text, wanted in texts:
-        for at in range(0, len(text), 64):
-            out = []
-            for t, w in zip(text.slice(at, 64), wanted.slice(at, 64)):
-                data = t.as_py().encode("utf-8", "replace")
-                out.append([{"name": r["name"], "copies": r["copies"], "first": r["first"], "starts": starts_named(data, r["first"], r["last"]).view(np.int64)} for r in w.as_py()])
-            yield pa.array(out, _STARTS)
+def _inside(first: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in a range."""
+    return np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(last + 1, minlength=n + 1))[:n] > 0
 
 
-def kept_parts(data: bytes, repeated: list[tuple[int, int]], lonely: list[int]) -> tuple[bytes, int, int]:
-    """What stays of data, how many bytes go, and in how many spans."""
+Ranges = tuple[np.ndarray, np.ndarray]
+
+
+def kept_parts(data: bytes, repeated: Ranges, lonely: Ranges) -> tuple[bytes, int, int]:
+    """What stays of data, how many bytes go, and in how many spans, from ranges of repeated starts and of lonely ones among them."""
     n = len(data) - WIDTH + 1
-    edge = np.zeros(n + 1, np.int32)
-    first, last = np.array(repeated, np.int64).reshape(-1, 2).T
-    np.add.at(edge, first, 1)
-    np.add.at(edge, last + 1, -1)
-    starts = np.cumsum(edge[:-1]) > 0
-    starts[np.asarray(lonely, np.int64)] = False
+    starts = _inside(*repeated, n) & ~_inside(*lonely, n)
     total = np.concatenate([[0], np.cumsum(starts, dtype=np.int64), np.full(WIDTH, starts.sum())])
     at = np.arange(len(data))
     gone = total[np.minimum(at + 1, n)] > total[np.maximum(at - WIDTH + 1, 0)]
@@ -141,14 +198,18 @@ _KEPT = pa.struct([("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sh
 
 def _kept(with_bytes: bool):
     def kept(rows: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for text, repeated, lonely in rows:
+        for text, *marks in rows:
             for at in range(0, len(text), 64):
                 out = []
-                for t, r, alone in zip(text.slice(at, 64), repeated.slice(at, 64), lonely.slice(at, 64)):
+                parts = [m.slice(at, 64) for m in marks]
+                ends = [np.cumsum([0, *(n or 0 for n in p.value_lengths().to_pylist())]) for p in parts]
+                ranges = [[_numbers(p, f) for f in ("first", "last")] for p in parts]
+                for i, t in enumerate(text.slice(at, 64)):
                     data = left = t.as_py().encode("utf-8", "replace")
                     n = spans = 0
-                    if r.is_valid:
-                        left, n, spans = kept_parts(data, [(x["first"], x["last"]) for x in r.as_py()], alone.as_py() or [])
+                    repeated, lonely = ([x[e[i] : e[i + 1]] for x in pair] for pair, e in zip(ranges, ends))
+                    if len(repeated[0]):
+                        left, n, spans = kept_parts(data, repeated, lonely)
                     out.append({"n_removed": n, "n_spans": spans, "kept_sha256": hashlib.sha256(left).hexdigest(), "kept": left if with_bytes else None})
                 yield pa.array(out, _KEPT)
 
@@ -157,31 +218,49 @@ def _kept(with_bytes: bool):
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, with_bytes: bool = True) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row; kept (null unless with_bytes) is what remains."""
-    digest = F.xxhash64(F.col(text_col))
+    bounded_batches(df.sparkSession)
+    spark, digest = df.sparkSession, F.xxhash64(F.col(text_col))
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("bigint"), digest).alias("row"), digest.alias("digest"), text_or_empty(text_col).alias("text"))
-    found = docs.where(F.octet_length("text") >= WIDTH).select("row", "digest", F.arrow_udf(_runs, "array<struct<name:bigint,context:bigint,first:bigint,last:bigint>>")("text").alias("runs"))
-    found = Stored(found.select("row", "digest", F.inline("runs")), "suffix-runs")
+    one = ["row", "digest"]
+    found = docs.where(F.octet_length("text") >= WIDTH).select(*one, F.arrow_udf(_runs, "array<struct<name:bigint,context:bigint,first:bigint,last:bigint>>")("text").alias("runs"))
+    found = Stored(found.select(*one, F.inline("runs")), "suffix-runs")
     by_name = found.df().groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).where("n > 1")
     by_name = Stored(by_name.select("name", (F.col("low") == F.col("high")).alias("alike")), "suffix-names")
     shared = Stored(found.df().join(by_name.df(), "name"), "suffix-shared")
     found.drop()
     by_name.drop()
-
-    one = F.min(F.struct("row", "digest", "first", "last"))
-    contexts = shared.df().where("not alike").groupBy("name", "context").agg(F.count(F.lit(1)).alias("copies"), one.alias("one"))
-    wanted = contexts.select(F.col("one.row").alias("row"), F.col("one.digest").alias("digest"), F.struct("name", "copies", F.col("one.first").alias("first"), F.col("one.last").alias("last")).alias("run"))
-    wanted = wanted.groupBy("row", "digest").agg(F.collect_list("run").alias("wanted"))
-    texts = docs.select("row", "digest", "text").join(wanted, ["row", "digest"])
-    named = texts.select("row", "digest", F.arrow_udf(_starts, "array<struct<name:bigint,copies:bigint,first:bigint,starts:array<bigint>>>")("text", "wanted").alias("runs"))
-    each = named.select("row", "digest", F.inline("runs")).select("row", "digest", "name", "copies", "first", F.posexplode("starts").alias("k", "start"))
-    merged = each.groupBy("name", "start").agg(F.sum("copies").alias("copies"), F.min("row").alias("row"), F.min("digest").alias("digest"), F.min(F.col("first") + F.col("k")).alias("at"))
-    lonely = merged.where("copies = 1").groupBy("row", "digest").agg(F.collect_list("at").alias("lonely"))
-
-    repeated = shared.df().groupBy("row", "digest").agg(F.collect_list(F.struct("first", "last")).alias("repeated"))
-    marks = repeated.join(lonely, ["row", "digest"], "left")
-    out = docs.join(Stored(marks, "suffix-marks").df(), ["row", "digest"], "left")
-    shared.drop()
-    done = out.select("id", F.octet_length("text").cast("bigint").alias("n_bytes"), _kept(with_bytes)("text", "repeated", "lonely").alias("x"))
+    release(spark)
+
+    def wanted(runs: DataFrame, *keys: str, copies=None) -> DataFrame:
+        """One representative for each group of runs by keys, with its copies, gathered by document."""
+        chosen = F.min(F.struct(*one, "first", "last"))
+        total = F.count(F.lit(1)) if copies is None else copies
+        by = runs.groupBy(*keys).agg(total.alias("copies"), chosen.alias("x"))
+        run = F.struct("name", "copies", F.col("x.first").alias("first"), F.col("x.last").alias("last"))
+        return by.select(F.col("x.row").alias("row"), F.col("x.digest").alias("digest"), run.alias("run")).groupBy(*one).agg(F.collect_list("run").alias("wanted"))
+
+    unlike = wanted(shared.df().where("not alike"), "name", "context")
+    texts = Stored(docs.select(*one, "text").join(unlike, one), "suffix-texts")
+    release(spark)
+    inside = texts.df().select(*one, _each(blocks, _BLOCKS)("text", "wanted").alias("blocks"))
+    inside = Stored(inside.select(*one, F.inline("blocks")), "suffix-blocks")
+    core = ["name", "k", "core"]
+    cores = inside.df().groupBy(*core).agg(F.sum("copies").alias("all_copies"), F.min("context").alias("low"), F.max("context").alias("high"))
+    cores = Stored(cores.where("all_copies = 1 or low <> high"), "suffix-cores")
+    open_ = Stored(inside.df().join(cores.df().select(*core, "all_copies"), core), "suffix-open")
+    release(spark)
+    alone = open_.df().where("all_copies = 1").select(*one, "first", "last")
+    unsettled = wanted(open_.df().where("all_copies > 1"), *core, "context", copies=F.sum("copies"))
+    starts = texts.df().select(*one, "text").join(unsettled, one).select(*one, _each(starts_named, _STARTS)("text", "wanted").alias("starts"))
+    merged = starts.select(*one, F.inline("starts")).groupBy("name", "start").agg(F.sum("copies").alias("copies"), F.min("row").alias("row"), F.min("digest").alias("digest"), F.min("at").alias("first"))
+    lonely = alone.union(merged.where("copies = 1").select(*one, "first", F.col("first").alias("last")))
+    lonely = Stored(lonely.groupBy(*one).agg(F.collect_list(F.struct("first", "last")).alias("lonely")), "suffix-lonely")
+    repeated = shared.df().groupBy(*one).agg(F.collect_list(F.struct("first", "last")).alias("repeated"))
+    marks = Stored(repeated.join(lonely.df(), one, "left"), "suffix-marks")
+    for x in (shared, texts, inside, cores, open_, lonely):
+        x.drop()
+    release(spark)
+    done = docs.join(marks.df(), one, "left").select("id", F.octet_length("text").cast("bigint").alias("n_bytes"), _kept(with_bytes)("text", "repeated", "lonely").alias("x"))
     return done.select(F.col("id").alias(id_col), "n_bytes", "x.n_removed", "x.n_spans", "x.kept_sha256", "x.kept")
 
 
