@@ -36,6 +36,27 @@ def with_prefix_sums(df: DataFrame, order: list[str], sums: dict[str, str], *, p
     return out.drop("slot__")
 
 
+def with_group_prefix_sums(df: DataFrame, group: str, order: list[str], sums: dict[str, str], *, partitions: int | None = None) -> DataFrame:
+    """df with, for each out: column in sums, the sum over the rows of the same group before this one in order.
+
+    A group may hold any share of the rows: windows are over a group's rows in one range of order, and one total for each
+    group and range, added up in a window over those totals alone, is joined back.
+    """
+    bounds = _bounds(df, order, partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slot = F.lit(0)
+    for b in bounds:
+        slot = slot + F.when(_not_before(order, b), 1).otherwise(0)
+    dealt = df.withColumn("slot__", slot)
+    totals = dealt.groupBy(F.col(group).alias("group__"), F.col("slot__").alias("of__")).agg(*[F.sum(c).alias(f"{o}__") for o, c in sums.items()])
+    earlier = Window.partitionBy("group__").orderBy("of__").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select("group__", "of__", *[F.coalesce(F.sum(f"{o}__").over(earlier), F.lit(0)).alias(f"{o}__") for o in sums])
+    joined = dealt.join(base, (F.col(group).eqNullSafe(F.col("group__"))) & (F.col("slot__") == F.col("of__")))
+    inside = Window.partitionBy(group, "slot__").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    for o, c in sums.items():
+        joined = joined.withColumn(o, F.col(f"{o}__") + F.coalesce(F.sum(F.coalesce(F.col(c), F.lit(0))).over(inside), F.lit(0)))
+    return joined.drop("slot__", "group__", "of__", *[f"{o}__" for o in sums])
+
+
 def _bounds(df: DataFrame, order: list[str], n: int) -> list[tuple]:
     """At most n - 1 ordinals that cut the rows into parts of about the same size, from a bounded sample."""
     if n <= 1:

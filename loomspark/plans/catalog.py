@@ -13,7 +13,7 @@ from loomspark.operators import normalize as N
 from loomspark.operators import quality as Q
 from loomspark.operators.budget import apply_budgets
 from loomspark.operators.dedup import canonical_hash, drop_seen, exact_dedup
-from loomspark.operators.ordinal import first_rows, skip_seen, with_prefix_sums, with_rank
+from loomspark.operators.ordinal import first_rows, skip_seen, with_group_prefix_sums, with_prefix_sums, with_rank
 from loomspark.operators.pack import pack_sequences
 from loomspark.operators.split import shard_path, split_of, split_value, with_shards
 from loomspark.operators.tokenizers import CharTokenizer, FileTokenizer, count_with_eos, encode_with_eos
@@ -117,16 +117,14 @@ def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _per_source(df: DataFrame, **limits: int) -> DataFrame:
-    """Budgets of all sources in one plan: the source is the first part of the order, and its own sums restart."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    """Budgets of all sources in one plan: sums restart with each source."""
+    df = with_group_prefix_sums(df.withColumn("one__", F.lit(1)), "source", BY_DOC, {"pre__": "n_tokens", "row__": "one__"})
     taken = F.lit(True)
     if "source_limit" in limits:
-        taken = taken & (F.coalesce(F.sum("n_tokens").over(w), F.lit(0)) < limits["source_limit"])
+        taken = taken & (F.col("pre__") < limits["source_limit"])
     if "max_rows" in limits:
-        taken = taken & (F.count(F.lit(1)).over(w) < limits["max_rows"])
-    return df.withColumn("processed", taken)
+        taken = taken & (F.col("row__") < limits["max_rows"])
+    return df.withColumn("processed", taken).drop("one__", "pre__", "row__")
 
 
 # ---- Flagship, filters ---------------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,12 +139,19 @@ def number_stream(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     return with_rank(df, order, "row_offset").withColumn("row_offset", F.col("row_offset") + 1).withColumn("file_index", F.lit(0))
 
 
+#: A reader of hub datasets by name, (spark, source) -> DataFrame, put here by a plug-in; there is none by default.
+hub_reader: Callable[[SparkSession, SourceConfig], DataFrame] | None = None
+
+
 def resolve_source(spark: SparkSession, source: SourceConfig, streams: dict[str, DataFrame] | None = None, cursor: tuple[int, int] | None = None) -> DataFrame:
-    """Raw rows of a source with file_index and row_offset: a given stream, else its files, after the cursor."""
+    """Raw rows of a source with file_index and row_offset: a given stream, else its files, else a hub reader's rows; after the cursor."""
     if streams and source.name in streams:
         raw = number_stream(streams[source.name])
     else:
         files = resolve_files(spark, source)
+        if not files and hub_reader is not None:
+            raw = number_stream(hub_reader(spark, source))
+            return from_cursor(raw, *cursor) if cursor else raw
         if not files:
             raise FileNotFoundError(f"source {source.name} has no stream and no files")
         raw = load_files(spark, files)

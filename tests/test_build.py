@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from loomspark import cli, report
 from loomspark.config import PipelineConfig, SourceConfig, config_hash, load_config, source_included
 from loomspark.operators.budget import apply_budgets
-from loomspark.operators.ordinal import with_prefix_sums
+from loomspark.operators.ordinal import with_group_prefix_sums, with_prefix_sums
 from loomspark.operators.pack import pack_sequences
 from loomspark.operators.split import split_value, with_shards
 from loomspark.operators.tokenizers import CharTokenizer, load_tokenizer
 from loomspark.plans.pipeline import run_pipeline
 from loomspark.sinks.shards import read_bin, validate_bin, write_bin
 from loomspark.sources import files, objects
+from loomspark.streaming.checkpoints import ProgressListener, publish_checkpoint, restore_checkpoint
 from loomspark.streaming.incremental import IncrementalBuild
 
 
@@ -105,6 +106,14 @@ def test_prefix_sums_over_files(spark):
     assert [x.pre for x in got] == [sum(y[3] for y in rows[:i]) for i in range(len(rows))]
 
 
+def test_prefix_sums_of_groups(spark):
+    r = random.Random(2)
+    rows = [(r.choice(["a", "a", "b", None]), k, r.randrange(9)) for k in range(90)]
+    df = spark.createDataFrame(rows, "g string, k bigint, n int").repartition(5)
+    got = with_group_prefix_sums(df, "g", ["k"], {"pre": "n"}, partitions=6).orderBy("k").collect()
+    assert [x.pre for x in got] == [sum(y[2] for y in rows[:i] if y[0] == rows[i][0]) for i in range(90)]
+
+
 @pytest.mark.parametrize("length", [1, 4, 7])
 def test_packing_like_a_serial_buffer(spark, length):
     r = random.Random(length)
@@ -149,6 +158,31 @@ def test_incremental_equals_one_run(spark, tmp_path):
     assert len(build.ledger.entries()) == len(entries)
 
 
+def test_checkpoints_in_a_store(spark, tmp_path):
+    c = config(tmp_path, [source(limit=10**9)], target_tokens=10**9, write_intermediate_jsonl=False)
+    build = IncrementalBuild(spark, c, c.sources[0], CharTokenizer())
+    df = spark.createDataFrame([(i + 1, TEXT + f"# {i}") for i in range(6)], "row_offset bigint, text string")
+    build.batch(df, 0)
+    store = f"file://{tmp_path}/store"
+    assert not restore_checkpoint(spark, replace(c, work_dir=str(tmp_path / "w0")), store)
+    publish_checkpoint(spark, c, store)
+    partial = json.loads((tmp_path / "store/metadata.partial.json").read_text())
+    assert partial["total_tokens"] == sum(e["sequences"] for e in build.ledger.entries()) * 8 and partial["completed"] is False
+    other = replace(c, work_dir=str(tmp_path / "w2"), output_dir=str(tmp_path / "o2"))
+    assert restore_checkpoint(spark, other, store, mark=config_hash(c)) and not restore_checkpoint(spark, other, store)
+    assert (tmp_path / "o2/batch=00000000/train-00000.bin").read_bytes() == (tmp_path / "out/batch=00000000/train-00000.bin").read_bytes()
+    assert len(list((tmp_path / "w2/ledger").glob("*.json"))) == 1
+    (tmp_path / "store/READY.json").unlink()  # without the mark there is nothing to restore
+    assert not restore_checkpoint(spark, replace(c, work_dir=str(tmp_path / "w3")), store)
+
+
+def test_progress_listener(spark, tmp_path):
+    lines = []
+    listener = ProgressListener("a", 100, lines.append)
+    listener.report(50, 5, 2.0)
+    assert lines == ["a [############------------]  50.0% 50/100 25 tok/s 2 row/s 2s"]
+
+
 def test_files(spark, tmp_path):
     assert files.choose_files(["b/x-10.parquet", "b/x-2.parquet", "b/y.txt", "c/z.json"], data_dir="b", config_name="nothing") == ["b/x-10.parquet", "b/x-2.parquet"]
     assert files.choose_files(["a/test-0.parquet", "a/train-0.parquet"], split="train", limit=1) == ["a/train-0.parquet"]
