@@ -7,12 +7,15 @@ from loomspark.llm.language_id import op5_language_id
 from loomspark.llm.media import op2_media
 from loomspark.llm.minhash import op8_minhash
 from loomspark.llm.mixing import op9_mixing
+from loomspark.llm.oracles import oracle_sql
 from loomspark.llm.pii import op6_pii
 from loomspark.llm.sentencepiece_viterbi import op10_sentencepiece
 from loomspark.llm.suffix_dedup import op4_suffix_dedup
 from loomspark.llm.token_counts import op1_token_counts
 from loomspark.llm.vector_dedup import op7_vector_dedup
 
+__all__ = ["oracle_sql", "queries"]
+
 
 def queries():
     return {
@@ -28,6 +31,3 @@ def queries():
         "op10_sentencepiece": op10_sentencepiece,
     }
 
-
-def oracle_sql():
-    return {}
