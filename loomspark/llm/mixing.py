@@ -69,6 +69,8 @@ class Classifier:
         rows = labels.select(F.col(id_col).alias("id"), F.col(domain_col).alias("domain")).where("id is not null and domain is not null").distinct()
         count = {r["d"]: r["n"] for r in rows.groupBy(F.col("domain").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
         domains = sorted(count)
+        if not domains:
+            return cls([], {}, [], [])
         each = sample / max(1, len(domains))
         place = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
         take = F.lit(False)
