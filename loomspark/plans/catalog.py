@@ -113,7 +113,7 @@ def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = kept.join(least, ["source", "hash"]).withColumn("is_dup", F.col("doc_id") != F.col("first__"))
     kept = kept.select("doc_id", "source", "reject_reason", "is_dup", F.when(~F.col("is_dup"), count_with_eos(CHAR, F.col("text"))).otherwise(0).alias("n_tokens"))
     rest = judged.where("reject_reason is not null").select("doc_id", "source", "reject_reason", F.lit(False).alias("is_dup"), F.lit(0).cast("bigint").alias("n_tokens"))
-    return kept.unionByName(rest)
+    return kept.unionByName(rest).persist()  # narrow, and read for the bounds, the totals and the windows
 
 
 def _per_source(df: DataFrame, **limits: int) -> DataFrame:
