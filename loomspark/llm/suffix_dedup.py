@@ -10,7 +10,7 @@ another, is removed. Matches never cross documents.
 * Difference cover. The sample must hold, for any two equal strings, one common offset at which both are
   sampled. A cover modulo 3 does that for any text at two thirds of its places; this one is chosen by
   content: the suffix sampled for a start is the one with the least 27-byte name among the next 320 places,
-  with the first of equals. Equal strings choose the same offset, and only about one place in 160 is sampled.
+  with the first of equals. Equal strings choose the same offset, and only about one place in 126 is sampled (measured).
 * Sampled suffixes are sorted by their 81-byte names. Starts that share a sampled suffix are a run. A name met once settles
   that its run's strings occur nowhere else; a name whose runs all have the same whole context settles that
   they all do.
