@@ -3,13 +3,13 @@
 1. Vectors equal in all components are one class, its smallest id the representative.
 2. First neighbour lists come from a forest: each table hashes a vector by the signs of a few random
    projections; a cell is compared within itself in blocks of bounded size, and each vector keeps
-   its ``k`` best neighbours at or above ``floor``.
+   its ``k`` best neighbours at or above ``floor``. The ``k`` best of a vector in a tight group all lie in that
+   group, so a block also gives a spanning forest of its links: what its links join is joined, however many there are.
 3. Descent: around each vector, its neighbours and those whose neighbour it is are compared with each
    other, again keeping the best, until a round links no two components that were apart.
-4. A list that is saturated (k neighbours, all at the threshold or above) cannot show how many there
-   are. It is enlarged to the vector's component of the threshold graph: members are compared tile
-   by tile, exactly, in double precision, so links are counted and never written out as pairs. A link joins its
-   ends' components, so nothing outside can be missing unless the search missed a whole component.
+4. Links are counted in the vector's component of the threshold graph: members are compared tile
+   by tile, exactly, in double precision, so links are never written out as pairs. A link joins its
+   ends' components, so links are missing only where the search never compared two parts of one component.
 5. The audit: the links of a fixed number of query vectors, found by brute force over all vectors, must
    lie within components in at least the share ``recall``; else more tables are added.
 
@@ -57,10 +57,29 @@ def _cells(tables: int, bits: int, seed: int):
     return F.arrow_udf(cells, "array<bigint>")
 
 
-def _best(ids: np.ndarray, x: np.ndarray, k: int, floor: float) -> tuple[list, list, list]:
-    """Each row's k best others at or above floor."""
+def _joining(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links hit: each row that isn't the first of its part, and one that it links with."""
+    left, child, parent = hit.any(axis=1), [], []
+    for root in np.flatnonzero(left):
+        if not left[root]:
+            continue
+        left[root], front = False, [root]
+        while front:
+            at = front.pop()
+            new = np.flatnonzero(hit[at] & left)
+            left[new] = False
+            child.append(new)
+            parent.append(np.full(len(new), at))
+            front.extend(new)
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *child]), np.concatenate([none, *parent])
+
+
+def _best(ids: np.ndarray, x: np.ndarray, k: int, floor: float, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's k best others at or above floor, and links that join all rows that the threshold graph joins."""
     s = x @ x.T
     np.fill_diagonal(s, -2)
+    child, parent = _joining(s >= threshold - 1e-6)
     if len(s) > k:
         at = np.argpartition(-s, k - 1, axis=1)[:, :k]
     else:
@@ -69,13 +88,13 @@ def _best(ids: np.ndarray, x: np.ndarray, k: int, floor: float) -> tuple[list, l
     flat = at.ravel()
     sim = s[rows, flat]
     ok = sim >= floor
-    return ids[rows[ok]], ids[flat[ok]], sim[ok]
+    return np.concatenate([ids[rows[ok]], ids[child]]), np.concatenate([ids[flat[ok]], ids[parent]]), np.concatenate([sim[ok], s[child, parent]])
 
 
 _EDGE = "a bigint, b bigint, sim double"
 
 
-def _compare(keys: list[str], k: int, floor: float):
+def _compare(keys: list[str], k: int, floor: float, threshold: float):
     """Compares each group (columns keys, id, vector) within itself."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +102,7 @@ def _compare(keys: list[str], k: int, floor: float):
         held, n = [], 0
         for group in groups(batches, keys):
             if len(group) > 1:
-                edges = _best(group["id"].to_numpy(), _unit(group["vector"]), k, floor)
+                edges = _best(group["id"].to_numpy(), _unit(group["vector"]), k, floor, threshold)
                 held.append(edges)
                 n += len(edges[0])
             if n >= 20_000:
@@ -95,7 +114,7 @@ def _compare(keys: list[str], k: int, floor: float):
     return compare
 
 
-def _search(vectors: Stored, tables: int, bits: int, seed: int, k: int, floor: float) -> DataFrame:
+def _search(vectors: Stored, tables: int, bits: int, seed: int, k: int, floor: float, threshold: float) -> DataFrame:
     """Edges from one forest."""
     cells = vectors.df().select("id", "label", "size", F.explode(_cells(tables, bits, seed)("vector")).alias("hash"))
     cells = Stored(cells.select("id", F.xxhash64("label", "size", "hash").alias("cell")), "nn-cells")
@@ -104,10 +123,10 @@ def _search(vectors: Stored, tables: int, bits: int, seed: int, k: int, floor: f
     placed = cells.df().join(large.df(), "cell").select("id", "cell", F.pmod(F.xxhash64("id", "cell"), F.col("blocks")).alias("block"))
     members = placed.join(vectors.df().select("id", F.col("vector").cast("array<float>").alias("vector")), "id")
     members = members.repartition("cell", "block").sortWithinPartitions("cell", "block")
-    return members.mapInArrow(_compare(["cell", "block"], k, floor), _EDGE)
+    return members.mapInArrow(_compare(["cell", "block"], k, floor, threshold), _EDGE)
 
 
-def _descend(vectors: Stored, edges: DataFrame, k: int, floor: float) -> DataFrame:
+def _descend(vectors: Stored, edges: DataFrame, k: int, floor: float, threshold: float) -> DataFrame:
     """Edges among the neighbours of each vector, forward and backward, in lists of bounded length."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     # Of a long list another part comes up around each vector, so that all of it is met from some side.
@@ -117,7 +136,7 @@ def _descend(vectors: Stored, edges: DataFrame, k: int, floor: float) -> DataFra
     around = around.union(around.select("a", F.col("a").alias("b"), "part").distinct())
     members = around.join(vectors.df().select(F.col("id").alias("b"), F.col("vector").cast("array<float>").alias("vector")), "b")
     members = members.select("a", F.col("b").alias("id"), "vector").repartition("a").sortWithinPartitions("a")
-    return members.mapInArrow(_compare(["a"], k, floor), _EDGE)
+    return members.mapInArrow(_compare(["a"], k, floor, threshold), _EDGE)
 
 
 def _counts(threshold: float):
@@ -184,11 +203,11 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
 
     links = component = None
     for seed in range(forests):
-        edges = _search(vectors, tables, bits, seed, k, floor)
+        edges = _search(vectors, tables, bits, seed, k, floor, threshold)
         links = Stored(edges if links is None else edges.unionByName(links.df()).distinct(), "nn-links")
         component, parts = _components(links, threshold)
         for _ in range(rounds):
-            more = Stored(links.df().unionByName(_descend(vectors, links.df(), k, floor)).groupBy("a", "b").agg(F.max("sim").alias("sim")), "nn-links")
+            more = Stored(links.df().unionByName(_descend(vectors, links.df(), k, floor, threshold)).groupBy("a", "b").agg(F.max("sim").alias("sim")), "nn-links")
             links.drop()
             links, before = more, parts
             component, parts = _components(links, threshold)

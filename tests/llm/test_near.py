@@ -146,6 +146,29 @@ def test_vectors_like_all_pairs(spark, folder_of, monkeypatch, seed):
     assert [got[i].component_id for i in range(len(rows))] == want
 
 
+def like_all_pairs(spark, rows, **options):
+    links = all_pairs(rows)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: r for r in V.near_duplicate_vectors(df, **options).collect()}
+    want = joined(len(rows), links)
+    assert [got[i].n_links for i in range(len(rows))] == np.bincount(np.array(links, int).ravel(), minlength=len(rows)).tolist()
+    assert [got[i].component_id for i in range(len(rows))] == want
+    return len({*want})
+
+
+def tight_groups(seed, cosine, size=40, d=64):
+    """Two groups, nearly equal inside and at this cosine to each other."""
+    r = np.random.default_rng(seed)
+    u, w = np.linalg.qr(r.standard_normal((d, 2)))[0].T
+    ends = [u, cosine * u + np.sqrt(1 - cosine * cosine) * w]
+    return [(i, [float(x) for x in ends[i % 2] + 0.0005 * r.standard_normal(d)], 0) for i in range(2 * size)]
+
+
+@pytest.mark.parametrize("cosine", [0.935, 0.95])
+def test_tight_groups_larger_than_a_list(spark, cosine):
+    assert like_all_pairs(spark, tight_groups(3, cosine)) == 1
+
+
 def test_odd_vector_tables(spark):
     schema = "vec_id bigint, embedding array<float>, label int, kept string"
     assert V.near_duplicate_vectors(spark.createDataFrame([], schema)).collect() == []
