@@ -169,6 +169,48 @@ def test_tight_groups_larger_than_a_list(spark, cosine):
     assert like_all_pairs(spark, tight_groups(3, cosine)) == 1
 
 
+def test_tables_grow_with_bits():
+    for bits in (6, 12, 16, 24):
+        miss = (1 - (1 - np.arccos(0.93) / np.pi) ** bits) ** V._tables(12, bits, 0.93)
+        assert miss <= 0.001
+
+
+def lone_pairs(seed, pairs=25, others=300, d=32):
+    """Pairs at cosine 0.94 in one cone with vectors that are like nothing else."""
+    r = np.random.default_rng(seed)
+    cone, rows = 2.0 * np.eye(d)[0] * np.sqrt(d), []
+    for i in range(pairs + others):
+        x = cone + r.standard_normal(d) if i < pairs else cone + 1.5 * r.standard_normal(d)
+        x /= np.sqrt(x @ x)
+        rows.append(x)
+        if i < pairs:
+            w = r.standard_normal(d)
+            w -= (w @ x) * x
+            rows.append(0.94 * x + np.sqrt(1 - 0.94**2) * w / np.sqrt(w @ w))
+    return [(i, [float(v) for v in x.astype(np.float32)], 0) for i, x in enumerate(rows)]
+
+
+def test_lone_pairs_in_a_full_cell(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK", 8)
+    monkeypatch.setattr(V, "TILE", 64)
+    rows = lone_pairs(7)
+    assert like_all_pairs(spark, rows, tables=1, forests=1, rounds=0, queries=4000) < len(rows) - 20
+
+
+def test_audit_sees_what_a_hot_group_hides(spark, monkeypatch):
+    rows = tight_groups(3, 0.2, size=150) + [(300 + i, v, 0) for i, v, _ in lone_pairs(7, pairs=40, others=0, d=64)]
+    search = V._search
+
+    def hot_only(*a):
+        edges, wide = search(*a)
+        return edges.where("a < 300 and b < 300"), wide.where("false")
+
+    monkeypatch.setattr(V, "_search", hot_only)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    with pytest.raises(RuntimeError):
+        V.near_duplicate_vectors(df, queries=8, forests=1)
+
+
 def test_odd_vector_tables(spark):
     schema = "vec_id bigint, embedding array<float>, label int, kept string"
     assert V.near_duplicate_vectors(spark.createDataFrame([], schema)).collect() == []
