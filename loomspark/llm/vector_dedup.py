@@ -90,7 +90,7 @@ def _best(ids: np.ndarray, x: np.ndarray, k: int, threshold: float) -> tuple[np.
     """Each row's k best others, and links that join all rows that the threshold graph joins."""
     s = x @ x.T
     np.fill_diagonal(s, -2)
-    child, parent = _joining(s >= threshold - 1e-6)
+    child, parent = _joining(s >= threshold)
     if len(s) > k:
         at = np.argpartition(-s, k - 1, axis=1)[:, :k]
     else:
@@ -133,7 +133,7 @@ def _search(vectors: Stored, tables: int, bits: int, seed: int, k: int, threshol
     large = cells.df().groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     large = Stored(large.select("cell", F.ceil(F.col("n") / BLOCK).alias("blocks")), "nn-large")
     placed = cells.df().join(large.df(), "cell").select("id", "cell", F.pmod(F.xxhash64("id", "cell"), F.col("blocks")).alias("block"))
-    members = placed.join(vectors.df().select("id", F.col("vector").cast("array<float>").alias("vector")), "id")
+    members = placed.join(vectors.df().select("id", "vector"), "id")
     members = members.repartition("cell", "block").sortWithinPartitions("cell", "block")
     wide = cells.df().join(large.df().where("blocks > 1").select("cell"), "cell", "left_semi").select("id", "cell")
     return members.mapInArrow(_compare(["cell", "block"], k, threshold), _EDGE), wide
@@ -149,7 +149,7 @@ def _whole_cells(vectors: Stored, wide: DataFrame, component: DataFrame, thresho
                 continue
             ids, x = group["id"].to_numpy(), _unit(group["vector"])
             s = x @ x.T
-            child, parent = _joining((s >= threshold - 1e-6) & (parts[:, None] != parts[None, :]))
+            child, parent = _joining((s >= threshold) & (parts[:, None] != parts[None, :]))
             yield pa.RecordBatch.from_arrays([pa.array(ids[child]), pa.array(ids[parent]), pa.array(s[child, parent])], ["a", "b", "sim"])
 
     placed = Stored(wide.join(component, "id", "left").select("id", "cell", F.coalesce("component", "id").alias("part")), "nn-wide")
@@ -158,7 +158,7 @@ def _whole_cells(vectors: Stored, wide: DataFrame, component: DataFrame, thresho
     tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("id", "cell"), F.col("tiles")).cast("bigint"))
     tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
     tiled = tiled.select("id", "cell", "part", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
-    tiled = tiled.join(vectors.df().select("id", F.col("vector").cast("array<float>").alias("vector")), "id")
+    tiled = tiled.join(vectors.df().select("id", "vector"), "id")
     return tiled.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j").mapInArrow(compare, _EDGE)
 
 
@@ -166,7 +166,7 @@ def _kept(edges: DataFrame, k: int, threshold: float) -> DataFrame:
     """Of each vector's edges the k best, and all links."""
     best = F.row_number().over(Window.partitionBy("a").orderBy(F.col("sim").desc(), "b"))
     edges = edges.groupBy("a", "b").agg(F.max("sim").alias("sim")).withColumn("best", best)
-    return edges.where((F.col("best") <= k) | (F.col("sim") >= threshold - 1e-6)).select("a", "b", "sim")
+    return edges.where((F.col("best") <= k) | (F.col("sim") >= threshold)).select("a", "b", "sim")
 
 
 def _descend(vectors: Stored, edges: DataFrame, k: int, threshold: float, turn: int) -> DataFrame:
@@ -176,7 +176,7 @@ def _descend(vectors: Stored, edges: DataFrame, k: int, threshold: float, turn:
     sizes = both.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / AROUND).alias("parts"))
     around = both.join(sizes, "a").select("a", "b", spread.alias("part"))
     around = around.union(around.select("a", F.col("a").alias("b"), "part").distinct())
-    members = around.join(vectors.df().select(F.col("id").alias("b"), F.col("vector").cast("array<float>").alias("vector")), "b")
+    members = around.join(vectors.df().select(F.col("id").alias("b"), "vector"), "b")
     members = members.select("a", "part", F.col("b").alias("id"), "vector").repartition("a", "part").sortWithinPartitions("a", "part")
     return members.mapInArrow(_compare(["a", "part"], k, threshold), _EDGE)
 
@@ -244,7 +244,9 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
     rows = Stored(rows.withColumn("usable", usable), "nn-rows")
     classes = rows.df().where("usable").groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = Stored(classes.withColumn("digest", F.xxhash64("vector")), "nn-classes")
-    vectors = Stored(classes.df().select(F.col("rep").alias("id"), "label", "vector", "copies", F.size("vector").alias("size")), "nn-vectors")
+    # Floats stay floats, which loses nothing; all similarities are in double precision.
+    lossless = "array<float>" if df.schema[vector_col].dataType.simpleString() in ("array<float>", "array<smallint>", "array<tinyint>") else "array<double>"
+    vectors = Stored(classes.df().select(F.col("rep").alias("id"), "label", F.col("vector").cast(lossless).alias("vector"), "copies", F.size("vector").alias("size")), "nn-vectors")
     most = vectors.df().groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     bits = min(24, max(1, int(np.ceil(np.log2(max(2, most / 256))))))
 
@@ -301,7 +303,7 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
 
 def _components(links: Stored, threshold: float) -> tuple[DataFrame, int]:
     """Components of the threshold graph, and how far they are joined: vertices less components."""
-    component = connected_components(links.df().where(F.col("sim") >= threshold - 1e-6), "a", "b", name="nn")
+    component = connected_components(links.df().where(F.col("sim") >= threshold), "a", "b", name="nn")
     return component, component.agg(F.count_if(F.col("id") != F.col("component"))).first()[0]
 
 

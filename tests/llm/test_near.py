@@ -211,6 +211,11 @@ def test_audit_sees_what_a_hot_group_hides(spark, monkeypatch):
         V.near_duplicate_vectors(df, queries=8, forests=1)
 
 
+def test_just_below_the_threshold(spark):
+    turn = lambda c: [float(c), float(np.sqrt(1 - c * c))]
+    assert like_all_pairs(spark, [(0, [1.0, 0.0], 0), (1, turn(0.9299995), 0), (2, [1.0, 0.0], 1), (3, turn(0.93000002), 1)]) == 3
+
+
 def test_odd_vector_tables(spark):
     schema = "vec_id bigint, embedding array<float>, label int, kept string"
     assert V.near_duplicate_vectors(spark.createDataFrame([], schema)).collect() == []
