@@ -1,10 +1,11 @@
 """Mixing to target weights by soft membership: DataFrame and SQL functions only.
 
-1. A classifier is fitted on a labelled table: word stems that a domain's documents hold far more often than
-   the others' form that domain's lexicon, by document frequency; marks, capitals and digits are counted
+1. A classifier is fitted on a labelled table: whole words that a domain's documents hold far more often than
+   the others' in the same language form that domain's lexicon in that language, by document frequency. Words count
+   in documents of their language; without a known language (or without the column) those of all languages do. Marks, capitals and digits are counted
    as kinds of their own. A multinomial model over these few kinds gives each document's posterior
    probability of each domain. The fit reads at most about ``sample`` labelled rows (chosen by a hash of their id);
-   the lexicons hold at most ``lexicon`` words a domain, so all that is carried into the plan is bounded.
+   the lexicons hold at most ``lexicon`` words a domain and language, so all that is carried into the plan is bounded.
 2. Each document has a rate, how often it shall be used, at first 1. Projected gradient descent fits
    nonnegative rates so that the expected tokens of each domain (rate x tokens x posterior) match the targets:
    least squares, in the metric that the domains' own spread gives, documents weighted by length. An
@@ -28,9 +29,7 @@ from loomspark.llm.common import Stored, table, text_or_empty, without
 
 #: What separates words here: in ASCII all but letters and digits.
 _BREAK = r"[\x00-/:-@\[-`{-\x7f]+"
-#: Words count by their first letters, which catches inflected and compound forms.
-STEM = 6
-#: A domain's lexicon in tiers, by how many times as often its documents hold a stem as the others do.
+#: A domain's lexicon in tiers, by how many times as often its documents hold a word as the others do.
 TIERS = (4.0, 16.0, 64.0)
 #: Kinds counted by pattern, besides the lexicons.
 _PATTERNS = {"marks": r"[#$%&*|!<>{}=]", "capitals": r"[A-Z]{3}", "digits": r"[0-9]+"}
@@ -40,18 +39,29 @@ def n_tokens(text: Column) -> Column:
     return F.when(F.trim(text) == "", 0).otherwise(F.regexp_count(text, F.lit(r"\S+"))).cast("bigint")
 
 
-def _stems(text: Column) -> Column:
-    return F.transform(F.split(F.lower(text), _BREAK), lambda w: F.substring(w, 1, STEM))
+def _words(text: Column) -> Column:
+    return F.split(F.lower(text), _BREAK)
 
 
-def _kinds(df: DataFrame, text: Column, lexicons: dict[str, list[str]]) -> DataFrame:
+def _lang(df: DataFrame) -> Column:
+    return F.col("lang").cast("string") if "lang" in df.columns else F.lit(None).cast("string")
+
+
+def _kinds(df: DataFrame, text: Column, lexicons: dict[str, dict[str, list[str]]]) -> DataFrame:
     """df with kinds__: counts of lexicon words by domain and tier, of patterns, and of the other words."""
-    known = sorted({w for words in lexicons.values() for w in words})
-    df = df.withColumn("words__", _stems(text))
+    known = sorted({w for by_lang in lexicons.values() for words in by_lang.values() for w in words})
+    langs = sorted({lang for by_lang in lexicons.values() for lang in by_lang})
+    df = df.withColumn("words__", _words(text))
     hits = F.filter("words__", lambda w: w.isin(known)) if known else F.array().cast("array<string>")
     df = df.withColumn("total__", F.size("words__")).withColumn("hits__", hits).drop("words__")
     among = lambda own: lambda w: w.isin(own)  # noqa: E731  a second parameter would be the index
-    by_lexicon = [F.size(F.filter("hits__", among(own))) if own else F.lit(0) for own in lexicons.values()]
+    count = lambda own: F.size(F.filter("hits__", among(own))) if own else F.lit(0)
+    by_lexicon = []
+    for by_lang in lexicons.values():
+        found = F.when(F.lit(False), F.lit(0))
+        for lang in langs:
+            found = found.when(_lang(df) == lang, count(by_lang.get(lang, [])))
+        by_lexicon.append(found.otherwise(count(sorted({w for words in by_lang.values() for w in words}))))
     by_pattern = [F.regexp_count(text, F.lit(p)) for p in _PATTERNS.values()]
     other = F.col("total__") - F.size("hits__")
     return df.withColumn("kinds__", F.array(*[c.cast("double") for c in (*by_lexicon, *by_pattern, other)])).drop("total__", "hits__")
@@ -60,7 +70,7 @@ def _kinds(df: DataFrame, text: Column, lexicons: dict[str, list[str]]) -> DataF
 class Classifier:
     """Lexicons and log probabilities: plain numbers that become literals of a plan."""
 
-    def __init__(self, domains: list[str], lexicons: dict[str, list[str]], log_prior: list[float], log_share: list[list[float]]):
+    def __init__(self, domains: list[str], lexicons: dict[str, dict[str, list[str]]], log_prior: list[float], log_share: list[list[float]]):
         self.domains, self.lexicons, self.log_prior, self.log_share = domains, lexicons, log_prior, log_share
 
     @classmethod
@@ -76,23 +86,25 @@ class Classifier:
         take = F.lit(False)
         for d in domains:
             take = take | ((F.col("domain") == d) & (place < int((1 << 40) * min(1.0, each / count[d]))))
-        texts = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-        some = Stored(texts.join(F.broadcast(rows.where(take)), "id").select("text", "domain"), "mixing-sample")
-        of = {r["d"]: r["n"] for r in some.df().groupBy(F.col("domain").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        seen = some.df().select("domain", F.explode(F.array_distinct(_stems(F.col("text")))).alias("word")).where("word <> ''")
-        by_word = seen.groupBy("word").agg(*[F.sum((F.col("domain") == d).cast("bigint")).alias(f"in{i}") for i, d in enumerate(domains)])
+        texts = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.coalesce(_lang(df), F.lit("")).alias("lang"))
+        some = Stored(texts.join(F.broadcast(rows.where(take)), "id").select("text", "domain", "lang"), "mixing-sample")
+        of: dict[str, dict[str, int]] = {}
+        for row in some.df().groupBy("lang", "domain").count().collect():
+            of.setdefault(row["lang"], {})[row["domain"]] = row["count"]
+        seen = some.df().select("lang", "domain", F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).where("word <> ''")
+        by_word = seen.groupBy("lang", "word").agg(*[F.sum((F.col("domain") == d).cast("bigint")).alias(f"in{i}") for i, d in enumerate(domains)])
         by_word = Stored(by_word.where(sum((F.col(f"in{i}") for i in range(len(domains))), F.lit(0)) >= least_docs), "mixing-words")
-        lexicons = {}
-        for i, d in enumerate(domains):
-            rest = sum(of.get(x, 0) for x in domains if x != d)
-            inside = (F.col(f"in{i}") + 0.5) / (of.get(d, 0) + 1.0)
-            outside = (sum((F.col(f"in{k}") for k in range(len(domains)) if k != i), F.lit(0)) + 0.5) / (rest + 1.0)
-            odds = F.log(inside / outside)
-            best = by_word.df().where((odds >= math.log(TIERS[0])) & (F.col(f"in{i}") >= least_docs)).orderBy((odds * inside).desc(), "word").limit(lexicon)
-            tiers = [[] for _ in TIERS]
-            for r in best.select("word", odds.alias("odds")).collect():
-                tiers[sum(r["odds"] >= math.log(t) for t in TIERS) - 1].append(r["word"])
-            lexicons |= {f"{d}/{j}": words for j, words in enumerate(tiers)}
+        lexicons: dict[str, dict[str, list[str]]] = {f"{d}/{j}": {} for d in domains for j in range(len(TIERS))}
+        for lang, docs in sorted(of.items()):
+            for i, d in enumerate(domains):
+                rest = sum(n for x, n in docs.items() if x != d)
+                inside = (F.col(f"in{i}") + 0.5) / (docs.get(d, 0) + 1.0)
+                outside = (sum((F.col(f"in{k}") for k in range(len(domains)) if k != i), F.lit(0)) + 0.5) / (rest + 1.0)
+                odds = F.log(inside / outside)
+                best = by_word.df().where((F.col("lang") == lang) & (odds >= math.log(TIERS[0])) & (F.col(f"in{i}") >= least_docs)).orderBy((odds * inside).desc(), "word").limit(lexicon)
+                for row in best.select("word", odds.alias("odds")).collect():
+                    tier = sum(row["odds"] >= math.log(t) for t in TIERS) - 1
+                    lexicons[f"{d}/{tier}"].setdefault(lang, []).append(row["word"])
         kinds = _kinds(some.df(), F.col("text"), lexicons)
         n_kinds = len(lexicons) + len(_PATTERNS) + 1
         sums = {r["domain"]: [r[f"k{j}"] for j in range(n_kinds)] for r in kinds.groupBy("domain").agg(*[F.sum(F.col("kinds__")[j]).alias(f"k{j}") for j in range(n_kinds)]).collect()}
@@ -179,14 +191,14 @@ def mix(df: DataFrame, labels: DataFrame, weights: dict[str, float] | None, *, f
     model = Classifier.fit(df, labels, id_col=id_col, text_col=text_col, **fit)
     out = ["n_tokens", *(f"p_{d}" for d in model.domains), "rate", "copies"]
     carry = [c for c in (carry or [c for c in df.columns if c != text_col]) if c.lower() not in out]
-    slim = df.select(*[F.col(f"`{c}`").alias(f"own__{i}") for i, c in enumerate(carry)], text_or_empty(text_col).alias("text"), F.col(f"`{id_col}`").alias("id__"))
+    slim = df.select(*[F.col(f"`{c}`").alias(f"own__{i}") for i, c in enumerate(carry)], text_or_empty(text_col).alias("text"), F.col(f"`{id_col}`").alias("id__"), _lang(df).alias("lang"))
     slim = slim.withColumn("n__", n_tokens(F.col("text")))
     steps: list[list[float]] = []
     if model.domains:
-        scored = Stored(model.posteriors(slim, "text").drop("text"), "mixing-scored").df()
+        scored = Stored(model.posteriors(slim, "text").drop("text", "lang"), "mixing-scored").df()
         steps, _ = fit_rates(scored, model.domains, weights, tokens=tokens, floor=floor)
     else:
-        scored = slim.drop("text").withColumn("posterior__", F.array().cast("array<double>"))
+        scored = slim.drop("text", "lang").withColumn("posterior__", F.array().cast("array<double>"))
     dice = F.pmod(F.xxhash64("id__", "n__"), F.lit(1 << 30)) / float(1 << 30)
     rated = scored.withColumn("rate__", rate_column(steps, F.col("posterior__")))
     return rated.select(
@@ -205,5 +217,5 @@ def quality_domains(labels: DataFrame) -> DataFrame:
 
 
 def op9_mixing(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs, quality_domains(table(spark, sf_dir, "labels")), {"high": 0.8, "low": 0.2, "toxic": 0.0})
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "lang")
+    return mix(docs, quality_domains(table(spark, sf_dir, "labels")), {"high": 0.8, "low": 0.2, "toxic": 0.0}, carry=["doc_id", "source"])

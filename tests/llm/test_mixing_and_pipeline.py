@@ -46,6 +46,21 @@ def test_posteriors(spark, labelled):
     assert sum(model.domains[r.best - 1] == want.get(r.doc_id % 6, "high") for r in got) >= 585
 
 
+def test_words_alike_in_their_first_letters_and_words_of_another_language(spark):
+    r, rows, labels = random.Random(4), [], []
+    for i in range(600):
+        lang, toxic = ("de", "en")[i % 2], i % 6 < 2
+        bad, good = ("schrecklicher", "schreckens") if lang == "de" else ("gift", "present")
+        odd = "gift" if lang == "de" else "schrecklicher"
+        words = [f"word{r.randrange(300)}" for _ in range(40)] + [bad if toxic else good] * 2 + ([] if toxic else [odd])
+        rows.append((i, " ".join(words), lang, "s", 0))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    model = X.Classifier.fit(docs, X.quality_domains(spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")))
+    got = model.posteriors(docs).select("doc_id", F.col("posterior__")[model.domains.index("toxic")].alias("p")).collect()
+    assert all((x.p > 0.5) == (x.doc_id % 6 < 2) for x in got)
+
+
 def test_only_sql(spark, labelled):
     docs, labels = labelled
     plan = X.mix(docs, X.quality_domains(labels), None)._jdf.queryExecution().toString()
