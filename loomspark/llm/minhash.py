@@ -6,12 +6,11 @@
 2. Documents with equal sets are one class; its smallest id stands for it from here on.
 3. Each bucket is a star: one member, another in each bucket, is its centre. Each class keeps the
    centre whose sketch is most like its own; the pair is confirmed on the full sets.
-4. What is linked so far forms components. In buckets that still span components, the sketches of members
-   of different components are compared, tile by tile of bounded size. Round by round the
-   nearest pair from each component to another is confirmed on the full sets, until a round links nothing. Then
-   all pairs that are left and agree in 65 % of their bins are confirmed (3.2 standard deviations below the
-   threshold: of pairs just at it one in 1500 is missed here, as one in 500 is by sharing no bucket). So no other pair that shares a bucket is lost, and neither copies nor dissimilar members become pairs.
-5. Components of the confirmed links.
+4. What is linked so far forms components. In buckets that still span components, members of different
+   components are compared on their full sets, tile by tile of bounded size, inside the tasks. What goes out is a spanning
+   forest of the links between components: so each link between members of a bucket counts, and neither copies,
+   linked members nor dissimilar ones become pairs.
+5. Components of both kinds of links.
 
 A null text or one without words has an empty set and links with nothing. Rows with the same id are one
 vertex. Rows with a null id are kept, with a null component. An empty table gives an empty table. Extra columns
@@ -31,7 +30,8 @@ from loomspark.llm.common import Stored, bounded_batches, groups, release, table
 from loomspark.llm.components import connected_components
 from loomspark.llm.shingles import OnePermutation, mixed, shingle_set
 
-TILE = 1024
+#: Bounds of a tile: members, and shingles of all members together.
+TILE, SHINGLES = 256, 1 << 18
 
 _SUMMARY = pa.struct([("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("keys", pa.list_(pa.int64())), ("sketch", pa.binary())])
 
@@ -57,7 +57,7 @@ def summary_column(scheme: OnePermutation, text):
 
 def _sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        sets = [shingle_set(x.as_py()).astype(np.int64) for x in batch]
+        sets = [np.sort(shingle_set(x.as_py()).view(np.int64)) for x in batch]
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))
 
@@ -75,51 +75,95 @@ def _with_agreement(pairs: DataFrame, summary: Stored) -> DataFrame:
     return pairs.join(a, "src").join(b, "dst").select("src", "dst", F.arrow_udf(_agreement, "bigint")("a", "b").alias("agree"))
 
 
-def _crossing(least: int, nearest: bool):
-    """Pairs (src, dst, agree) of different parts within each pair of tiles of a bucket whose sketches agree in at
-    least this many bins: all of them, or for each part its nearest only."""
-
-    def crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _common(values: np.ndarray, ends: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets left with the sets right; set r is values[ends[r] : ends[r + 1]]."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    if len(left) * len(right) <= 64:
+        for x, a in enumerate(left):
+            own = values[ends[a] : ends[a + 1]]
+            for y, b in enumerate(right):
+                other = values[ends[b] : ends[b + 1]]
+                if len(own) and len(other):
+                    out[x, y] = np.count_nonzero(own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other)
+        return out
+    # As a product of 0-1 matrices, some columns at a time; shingles of one set only are in no intersection.
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1
+    shared = times[column] > 1
+    row, column = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[shared], number[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for at in range(0, len(column) and int(column[-1]) + 1, 4096):
+        a, b = np.searchsorted(column, [at, at + 4096])
+        held = np.zeros((len(ends) - 1, 4096), np.float32)
+        held[row[a:b], column[a:b] - at] = 1
+        out += (held[left] @ held[right].T).astype(np.int64)
+    return out
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of the edges (a, b), as many as join what all of them join."""
+    of: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := of.setdefault(x, x)) != x:
+            of[x] = x = of[up]
+        return x
+
+    kept: tuple[list[int], list[int]] = ([], [])
+    for x, y in np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0).tolist():
+        p, q = root(x), root(y)
+        if p != q:
+            of[q] = p
+            kept[0].append(x)
+            kept[1].append(y)
+    return kept
+
+
+def _joined(percent: int):
+    """Links between parts within each pair of tiles of a bucket, judged on full sets; a spanning forest of them goes out."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ["key", "i", "j"]):
-            ids, parts, tiles = (group[c].to_numpy() for c in ("id", "part", "tile"))
-            if (parts == parts[0]).all():
-                continue
-            sketches = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+            parts, tiles = group["part"].to_numpy(), group["tile"].to_numpy()
             left, right = (np.flatnonzero(tiles == group[c][0].as_py()) for c in ("i", "j"))
-            if not len(left) or not len(right):
+            if not len(left) or not len(right) or (parts == parts[0]).all():
                 continue
-            agree = np.concatenate([(sketches[left[at : at + 64]][:, None, :] == sketches[right][None, :, :]).sum(axis=2) for at in range(0, len(left), 64)])
-            agree[parts[left][:, None] == parts[right][None, :]] = -1
-            if nearest:
-                src, dst, near = ids[left], ids[right[agree.argmax(axis=1)]], agree.max(axis=1)
-                own = parts[left]
-                if group["i"][0].as_py() != group["j"][0].as_py():
-                    src, dst, near = np.concatenate([src, ids[right]]), np.concatenate([dst, ids[left[agree.argmax(axis=0)]]]), np.concatenate([near, agree.max(axis=0)])
-                    own = np.concatenate([own, parts[right]])
-                order = np.lexsort((-near, own))
-                keep = order[np.concatenate([[True], own[order][1:] != own[order][:-1]])]
-                keep = keep[near[keep] >= least]
-                src, dst, near = src[keep], dst[keep], near[keep]
-            else:
-                x, y = np.nonzero(agree >= least)
-                src, dst, near = np.minimum(ids[left[x]], ids[right[y]]), np.maximum(ids[left[x]], ids[right[y]]), agree[x, y]
-            yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst), pa.array(near.astype(np.int64))], ["src", "dst", "agree"])
-
-    return crossing
-
-
-def _across(members: Stored, component: DataFrame, summary: Stored, least: int, nearest: bool) -> DataFrame:
-    """The pairs of _crossing in the buckets that span components."""
-    placed = members.df().select("key", "id").join(component, "id", "left").select("key", "id", F.coalesce("component", "id").alias("part"))
-    placed = Stored(placed, "minhash-placed")
-    spanning = placed.df().groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high")
-    spanning = Stored(spanning.select("key", F.ceil(F.col("n") / TILE).alias("tiles")), "minhash-spanning")
-    tiled = placed.df().join(spanning.df(), "key").join(summary.df().select("id", "sketch"), "id")
-    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("id", "key"), F.col("tiles")).cast("bigint"))
-    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)))
-    tiled = tiled.select("key", "id", "part", "tile", "sketch", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
-    tiled = tiled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return tiled.mapInArrow(_crossing(least, nearest), "src bigint, dst bigint, agree bigint")
+            lists = group["set"].combine_chunks()
+            size = lists.value_lengths().to_numpy().astype(np.int64)
+            both = _common(lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(size)]), left, right)
+            hit = 100 * both >= percent * (size[left][:, None] + size[right][None, :] - both)
+            x, y = np.nonzero(hit & (parts[left][:, None] != parts[right][None, :]))
+            if len(x):
+                a, b = _forest(parts[left[x]], parts[right[y]])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["src", "dst"])
+
+    return joined
+
+
+def _across(members: Stored, component: DataFrame, summary: Stored, sets: Stored, percent: int) -> DataFrame:
+    """(src, dst): components that a link between members of one bucket joins, for all buckets that span components.
+
+    A bucket's members lie in tiles bounded by rows and by shingles; each pair of tiles is a group of its own. The
+    largest component of a bucket has tiles of its own, which aren't compared with each other.
+    """
+    sizes = summary.df().select("id", "n")
+    placed = members.df().select("key", "id").join(component, "id", "left").join(sizes, "id")
+    placed = Stored(placed.select("key", "id", "n", F.coalesce("component", "id").alias("part")), "minhash-placed")
+    by_part = placed.df().groupBy("key", "part").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("z"))
+    by_key = by_part.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("c").alias("c"), F.sum("z").alias("z"), F.max(F.struct("c", "z", "part")).alias("most"))
+    tiles = lambda c, z: F.greatest(F.ceil(c / TILE), F.ceil(z / SHINGLES)).cast("bigint")
+    own = F.when(tiles(F.col("c"), F.col("z")) == 1, 0).otherwise(tiles(F.col("most.c"), F.col("most.z")))
+    rest = F.when(tiles(F.col("c"), F.col("z")) == 1, 1).otherwise(tiles(F.col("c") - F.col("most.c"), F.col("z") - F.col("most.z")))
+    spanning = Stored(by_key.where("parts > 1").select("key", F.col("most.part").alias("most"), own.cast("bigint").alias("own"), rest.cast("bigint").alias("rest")), "minhash-spanning")
+    dealt = placed.df().join(spanning.df(), "key")
+    apart = (F.col("part") == F.col("most")) & (F.col("own") > 0)
+    place = F.xxhash64("id", "key")
+    tile = F.when(apart, F.pmod(place, F.col("own"))).otherwise(F.col("own") + F.pmod(place, F.col("rest")))
+    other = F.sequence(F.when(apart, F.col("own")).otherwise(F.lit(0).cast("bigint")), F.col("own") + F.col("rest") - 1)
+    dealt = dealt.select("key", "id", "part", tile.alias("tile"), F.explode(other).alias("other"))
+    dealt = dealt.join(sets.df(), "id").select("key", "part", "tile", "set", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_joined(percent), "src bigint, dst bigint")
 
 
 def _confirmed(pairs: DataFrame, sets: Stored, percent: int) -> DataFrame:
@@ -154,25 +198,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     star = _with_agreement(met, summary).groupBy("src").agg(F.max(F.struct("agree", "dst"))["dst"].alias("dst"))
     links = Stored(_confirmed(star, sets, percent), "minhash-links")
 
-    least = scheme.bins * 13 // 20
     component = connected_components(links.df(), name="minhash-star")
-    while True:
-        near = _across(members, component, summary, least, nearest=True)
-        near = Stored(near.groupBy("src").agg(F.max(F.struct("agree", "dst"))["dst"].alias("dst")), "minhash-near")
-        new = Stored(_confirmed(near.df(), sets, percent), "minhash-new")
-        if new.df().isEmpty():
-            break
-        links = Stored(links.df().union(new.df()), "minhash-links")
-        component = connected_components(links.df(), name="minhash-near")
-        release(df.sparkSession)
-    pairs = Stored(_across(members, component, summary, least, nearest=False).select("src", "dst").distinct(), "minhash-pairs")
-    more = Stored(_confirmed(pairs.df(), sets, percent), "minhash-more")
-
-    for x in (sets, members, pairs):
+    more = Stored(_across(members, component, summary, sets, percent), "minhash-more")
+    for x in (sets, members, links):
         x.drop()
     release(df.sparkSession)
-    component = connected_components(links.df().union(more.df()), name="minhash")
-    named = classes.df().join(component, F.col("rep") == F.col("id"), "left").select(*own, F.coalesce("component", "rep").alias("found"))
+    joined = connected_components(more.df(), name="minhash").select(F.col("id").alias("part"), F.col("component").alias("whole"))
+    reps = classes.df().select(F.col("rep").alias("id")).join(component, "id", "left").select("id", F.coalesce("component", "id").alias("part"))
+    component = reps.join(joined, "part", "left").select("id", F.coalesce("whole", "part").alias("component"))
+    named = classes.df().join(component, F.col("rep") == F.col("id")).select(*own, F.col("component").alias("found"))
     out = summary.df().select("id", *own).join(named, own, "left")
     component_id = F.when(F.col("id").isNotNull(), F.coalesce("found", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component_id.alias("component_id"), (F.col("id") == component_id).alias("kept"))

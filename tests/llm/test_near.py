@@ -73,6 +73,39 @@ def test_texts_like_all_pairs(spark, docs_of, folder_of, seed):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
+@pytest.mark.parametrize("tile, bound", [(256, 1 << 18), (8, 400)])
+def test_hot_group_about_the_threshold(spark, docs_of, monkeypatch, tile, bound):
+    """Near copies of one text, most pairs of them just under or over the threshold, in tiles and in one piece."""
+    monkeypatch.setattr(M, "TILE", tile)
+    monkeypatch.setattr(M, "SHINGLES", bound)
+    r = random.Random(5)
+    base = [f"w{r.randrange(900)}" for _ in range(120)]
+    texts = []
+    for _ in range(260):
+        x = list(base)
+        for _ in range(r.randrange(2, 8)):
+            x[r.randrange(120)] = f"o{r.randrange(10**9)}"
+        texts.append(" ".join(x))
+    texts += [" ".join(base[:60] + [f"p{k}-{i}" for i in range(60)]) for k in range(40)]
+    sets = [shingles(t) for t in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    want = joined(len(texts), links)
+    got = {r.doc_id: r.component_id for r in M.near_duplicates(docs_of(texts)).collect()}
+    met = sum(got[i] == got[j] for i, j in links) / len(links)
+    assert met >= 0.99 and sum(got[i] == want[i] for i in got) >= 0.99 * len(got)
+    assert all(want[got[i]] == want[i] for i in got)  # nothing is joined that isn't linked
+
+
+def test_intersections_by_product():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 9000, n)) for n in (0, 1, 5, 700, 6000, 6000, *r.integers(1, 50, 20))]
+    values, ends = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+    left, right = np.arange(0, 26, 2), np.arange(1, 26, 2)
+    want = [[len(np.intersect1d(sets[a], sets[b])) for b in right] for a in left]
+    assert M._common(values, ends, left, right).tolist() == want
+    assert M._common(values, ends, left[:5], right[:9]).tolist() == [row[:9] for row in want[:5]]  # few: one by one
+
+
 def test_odd_document_tables(spark, docs_of):
     assert M.near_duplicates(docs_of([])).collect() == []
     t = "a b c d e f g"
