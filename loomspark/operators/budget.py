@@ -9,14 +9,14 @@ from loomspark.operators.ordinal import with_prefix_sums
 
 
 def apply_budgets(df: DataFrame, order: list[str], *, tokens: str = "n_tokens", source_limit: int | None = None, target: int | None = None, before: int = 0, block: int = 1, max_rows: int | None = None) -> DataFrame:
-    """df (one source) with processed and accepted.
+    """df (one source, and narrow: all its columns are written once) with processed and accepted.
 
     tokens: of rows that were kept, 0 or null for rejected and duplicate rows. source_limit is for this
     source, target for all sources, of which before tokens are accepted already; of these only whole
     blocks count (block 1: every token). max_rows bounds the raw rows. The last row taken may overshoot.
     """
     df = df.withColumn("n__", F.coalesce(F.col(tokens), F.lit(0))).withColumn("one__", F.lit(1))
-    df = with_prefix_sums(df, order, {"pre__": "n__", "row__": "one__"})
+    df = with_prefix_sums(df, order, {"pre__": "n__", "row__": "one__"}, whole=True)
     taken = F.lit(True)
     if source_limit is not None:
         taken = taken & (F.col("pre__") < source_limit)

@@ -14,11 +14,17 @@ def canonical_hash(text: Column) -> Column:
 
 
 def first_by_ordinal(df: DataFrame, key: str, ordinal: list[str], out: str = "is_first") -> DataFrame:
-    """df with out: is this the first row with its key? By least ordinal, so that counting combines before
-    the shuffle and a key with a third of the rows doesn't land in one task, as a window's would."""
-    place = F.struct(*ordinal)
-    least = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(place).alias("least__"))
-    return df.join(least, key, "left").withColumn(out, F.coalesce(place == F.col("least__"), F.lit(False))).drop("least__")
+    """df with out: is this the first row with its key? False for a null key.
+
+    The least ordinal of each key comes from an aggregate that combines before the shuffle, and is joined back by the
+    ordinal, which is unique. So a key with a third of the rows never meets in one task."""
+    place = F.struct(*[F.col(c).alias(f"first{i}__") for i, c in enumerate(ordinal)])
+    first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(place).alias("x")).select("x.*", F.lit(True).alias("hit__"))
+    same = F.lit(True)
+    for i, c in enumerate(ordinal):
+        same = same & (df[c] == first[f"first{i}__"])
+    joined = df.join(first, same, "left").withColumn(out, F.coalesce("hit__", F.lit(False)))
+    return joined.drop("hit__", *[f"first{i}__" for i in range(len(ordinal))])
 
 
 def drop_seen(df: DataFrame, seen: DataFrame | None, key: str = "hash") -> DataFrame:
@@ -29,11 +35,22 @@ def drop_seen(df: DataFrame, seen: DataFrame | None, key: str = "hash") -> DataF
 def exact_dedup(df: DataFrame, text: Column, ordinal: list[str], seen: DataFrame | None = None) -> DataFrame:
     """df with hash and is_dup: seen before, or not the first with its hash."""
     hashed = df.withColumn("hash", canonical_hash(text))
+    return marked_duplicates(hashed, ordinal, seen)
+
+
+def marked_duplicates(hashed: DataFrame, ordinal: list[str], seen: DataFrame | None = None) -> DataFrame:
+    """hashed with is_dup, false for a null hash."""
     marked = first_by_ordinal(hashed, "hash", ordinal)
     if seen is not None:
-        known = seen.select("hash").distinct().withColumn("known__", F.lit(True))
-        marked = marked.join(known, "hash", "left").withColumn("is_first", F.col("is_first") & F.col("known__").isNull()).drop("known__")
-    return marked.withColumn("is_dup", ~F.col("is_first")).drop("is_first")
+        # Seen hashes are looked up for the first rows only: a hot hash is one row there.
+        known = marked.where("is_first").select("hash").join(seen.select("hash"), "hash", "left_semi").distinct()
+        again = marked.where("is_first").join(known, "hash", "left_semi").select(*[F.col(c).alias(f"again{i}__") for i, c in enumerate(ordinal)], F.lit(True).alias("known__"))
+        same = F.lit(True)
+        for i, c in enumerate(ordinal):
+            same = same & (marked[c] == again[f"again{i}__"])
+        marked = marked.join(again, same, "left").withColumn("is_first", F.col("is_first") & F.col("known__").isNull())
+        marked = marked.drop("known__", *[f"again{i}__" for i in range(len(ordinal))])
+    return marked.withColumn("is_dup", F.col("hash").isNotNull() & ~F.col("is_first")).drop("is_first")
 
 
 class SeenTable:

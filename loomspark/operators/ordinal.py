@@ -5,83 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspark.scratch import Stored
 
-def with_prefix_sums(df: DataFrame, order: list[str], sums: dict[str, str], *, partitions: int | None = None) -> DataFrame:
-    """df with, for each out: column in sums, the sum of the column over all rows before this one in order.
 
-    Rows are dealt to partitions by range of order, each partition is summed once, the few totals (one row per
-    partition) are added up on the driver, and a window inside each partition does the rest. Order columns
-    must be unique together; nulls in a summed column count 0.
-    """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The bounds are cut once and are literals of the plan: a range exchange samples anew when it
-    # is planned again, and the totals of one cut would not fit the partitions of another.
-    bounds = _bounds(df, order, n)
-    slot = F.lit(0)
-    for b in bounds:
-        slot = slot + F.when(_not_before(order, b), 1).otherwise(0)
-    dealt = df.withColumn("slot__", slot)
-    totals = {r["slot__"]: r for r in dealt.groupBy("slot__").agg(*[F.sum(F.col(c)).alias(o) for o, c in sums.items()]).collect()}
-    before, running = {}, dict.fromkeys(sums, 0)
-    for k in range(len(bounds) + 1):
-        before[k] = dict(running)
-        if k in totals:
-            running = {o: running[o] + (totals[k][o] or 0) for o in sums}
-    inside = Window.partitionBy("slot__").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = dealt
-    for o, c in sums.items():
-        base = F.element_at(F.array(*[F.lit(before[k][o]).cast("bigint") for k in range(len(bounds) + 1)]), F.col("slot__") + 1)
-        out = out.withColumn(o, base + F.coalesce(F.sum(F.coalesce(F.col(c), F.lit(0))).over(inside), F.lit(0)))
-    return out.drop("slot__")
-
-
-def with_group_prefix_sums(df: DataFrame, group: str, order: list[str], sums: dict[str, str], *, partitions: int | None = None) -> DataFrame:
-    """df with, for each out: column in sums, the sum over the rows of the same group before this one in order.
+def with_prefix_sums(df: DataFrame, order: list[str], sums: dict[str, str], *, group: str | None = None, partitions: int | None = None, whole: bool = False) -> DataFrame:
+    """df with, for each out: column in sums, the sum of the column over all rows before this one in order,
+    or over those of the same group. Order columns must be unique together; nulls in a summed column count 0.
 
-    A group may hold any share of the rows: windows are over a group's rows in one range of order, and one total for each
-    group and range, added up in a window over those totals alone, is joined back.
+    Rows are dealt by range of order, each to a slot, and written once with their slot, so that each later step
+    sees the same slots. There is one total for each slot (and group); these few are added up, and a window
+    inside each slot does the rest. A group, even of null, may hold any share of the rows. What is written is the
+    order, the group and the summed columns; other columns are joined back by order, so df is evaluated twice.
+    whole: write all columns of df instead, where they are small or where order holds within one evaluation only.
     """
-    bounds = _bounds(df, order, partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    slot = F.lit(0)
-    for b in bounds:
-        slot = slot + F.when(_not_before(order, b), 1).otherwise(0)
-    dealt = df.withColumn("slot__", slot)
-    totals = dealt.groupBy(F.col(group).alias("group__"), F.col("slot__").alias("of__")).agg(*[F.sum(c).alias(f"{o}__") for o, c in sums.items()])
-    earlier = Window.partitionBy("group__").orderBy("of__").rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.select("group__", "of__", *[F.coalesce(F.sum(f"{o}__").over(earlier), F.lit(0)).alias(f"{o}__") for o in sums])
-    joined = dealt.join(base, (F.col(group).eqNullSafe(F.col("group__"))) & (F.col("slot__") == F.col("of__")))
-    inside = Window.partitionBy(group, "slot__").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    for o, c in sums.items():
-        joined = joined.withColumn(o, F.col(f"{o}__") + F.coalesce(F.sum(F.coalesce(F.col(c), F.lit(0))).over(inside), F.lit(0)))
-    return joined.drop("slot__", "group__", "of__", *[f"{o}__" for o in sums])
-
-
-def _bounds(df: DataFrame, order: list[str], n: int) -> list[tuple]:
-    """At most n - 1 ordinals that cut the rows into parts of about the same size, from a bounded sample."""
-    if n <= 1:
-        return []
-    head = order[:-1]
-    counts = df.groupBy(*order[:1]).count().limit(2).collect() if head else []
-    quantiles = [k / n for k in range(1, n)]
-    if len(counts) < 2 and len(order) > 1:  # one source or file: the next columns decide
-        return [tuple([counts[0][0] if counts else None, *b]) for b in _bounds(df, order[1:], n)] if counts and counts[0][0] is not None else []
-    cuts = df.agg(F.percentile_approx(F.col(order[0]).cast("bigint"), F.array(*[F.lit(q) for q in quantiles]), F.lit(1000)).alias("q")).first()["q"] or []
-    return [(c,) for c in sorted(set(cuts))]
-
-
-def _not_before(order: list[str], bound: tuple):
-    """Is the row's ordinal at or after bound (a prefix of order)?"""
-    after, equal = F.lit(False), F.lit(True)
-    for c, b in zip(order, bound):
-        after = after | (equal & (F.col(c) > F.lit(b)))
-        equal = equal & (F.col(c) == F.lit(b))
-    return after | equal
-
-
-def with_rank(df: DataFrame, order: list[str], out: str = "rank") -> DataFrame:
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = {*order, *sums.values(), *([group] if group else [])}
+    whole = whole or set(df.columns) <= needed
+    rest = [c for c in df.columns if c not in sums] if whole else []
+    places, values = [f"o{i}__" for i in range(len(order))], {o: f"v{i}__" for i, o in enumerate(sums)}
+    slim = df.select(
+        *[F.col(f"`{c}`").alias(p) for c, p in zip(order, places)],
+        *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(values[o]) for o, c in sums.items()],
+        *([F.col(f"`{group}`").alias("group__")] if group else []),
+        *[F.col(f"`{c}`").alias(f"r{i}__") for i, c in enumerate(rest)],
+    )
+    dealt = Stored(slim.repartitionByRange(n, *places).withColumn("slot__", F.spark_partition_id()), "ordinal").df()
+
+    by = ["group__"] if group else []
+    totals = dealt.groupBy("slot__", *by).agg(F.min(F.struct(*places)).alias("least__"), *[F.sum(v).alias(v) for v in values.values()])
+    earlier = Window.partitionBy(*by).orderBy("least__").rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select(F.col("slot__").alias("of__"), *[F.col(c).alias("in__") for c in by], *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"{v}b") for v in values.values()])
+    here = F.col("slot__") == F.col("of__")
+    if group:
+        here = here & F.col("group__").eqNullSafe(F.col("in__"))
+    inside = Window.partitionBy("slot__", *by).orderBy(*places).rowsBetween(Window.unboundedPreceding, -1)
+    sums_of = [(F.col(f"{v}b") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"{v}s") for v in values.values()]
+    # Without groups there is one row for each slot.
+    summed = dealt.join(base if group else F.broadcast(base), here).select(*places, *[f"r{i}__" for i in range(len(rest))], *sums_of)
+    found = [F.col(f"{v}s").alias(o) for o, v in values.items()]
+    if whole:
+        return summed.select(*[F.col(f"r{i}__").alias(c) for i, c in enumerate(rest)], *found)
+    kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in sums])
+    same = F.lit(True)
+    for c, p in zip(order, places):
+        same = same & kept[f"`{c}`"].eqNullSafe(F.col(p))
+    return kept.join(summed, same).select(*[kept[f"`{c}`"] for c in kept.columns], *found)
+
+
+def with_rank(df: DataFrame, order: list[str], out: str = "rank", *, whole: bool = False) -> DataFrame:
     """df with the 0-based position of each row in order."""
-    return with_prefix_sums(df.withColumn("one__", F.lit(1)), order, {out: "one__"}).drop("one__")
+    return with_prefix_sums(df.withColumn("one__", F.lit(1)), order, {out: "one__"}, whole=whole).drop("one__")
 
 
 def skip_seen(df: DataFrame, order: list[str], count: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.operators.ordinal import with_rank
+from loomspark.operators.ordinal import with_prefix_sums
 
 
 def split_value(index: Column, seed: int, prefix: str = "") -> Column:
@@ -19,13 +19,14 @@ def split_of(index: Column, seed: int, val_ratio: float, *, samples: bool = Fals
     return F.when(split_value(index, seed, "sft:" if samples else "") < val_ratio, "val").otherwise("train")
 
 
-def with_shards(df: DataFrame, index: str, shard_size: int, split: str = "split") -> DataFrame:
-    """df with shard: within each split the rows in order of index fill shards of shard_size one after another."""
-    both = []
-    for name in ("train", "val"):
-        ranked = with_rank(df.where(F.col(split) == name), [index], "rank__")
-        both.append(ranked.withColumn("shard", F.floor(F.col("rank__") / shard_size).cast("bigint")).drop("rank__"))
-    return both[0].unionByName(both[1])
+def with_shards(df: DataFrame, index: str, shard_size: int, split: str = "split", *, whole: bool = False) -> DataFrame:
+    """df with shard: within each split the rows in order of index fill shards of shard_size one after another.
+
+    Both splits' ranks come from one pass; whole as for prefix sums."""
+    val = (F.col(split) == "val").cast("bigint")
+    ranked = with_prefix_sums(df.withColumn("val__", val).withColumn("train__", 1 - val), [index], {"vals__": "val__", "trains__": "train__"}, whole=whole)
+    rank = F.when(F.col(split) == "val", F.col("vals__")).otherwise(F.col("trains__"))
+    return ranked.withColumn("shard", F.floor(rank / shard_size).cast("bigint")).drop("val__", "train__", "vals__", "trains__")
 
 
 def shard_path(split: Column, shard: Column, ending: str) -> Column:

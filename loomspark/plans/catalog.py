@@ -12,12 +12,13 @@ from loomspark.functions.text import LB, WS, base_name, entropy, lines, not_blan
 from loomspark.operators import normalize as N
 from loomspark.operators import quality as Q
 from loomspark.operators.budget import apply_budgets
-from loomspark.operators.dedup import canonical_hash, drop_seen, exact_dedup
-from loomspark.operators.ordinal import first_rows, skip_seen, with_group_prefix_sums, with_prefix_sums, with_rank
+from loomspark.operators.dedup import canonical_hash, drop_seen, exact_dedup, marked_duplicates
+from loomspark.operators.ordinal import first_rows, skip_seen, with_prefix_sums, with_rank
 from loomspark.operators.pack import pack_sequences
 from loomspark.operators.split import shard_path, split_of, split_value, with_shards
 from loomspark.operators.tokenizers import CharTokenizer, FileTokenizer, count_with_eos, encode_with_eos
 from loomspark.plans.fixtures import CODE_DOCS, RAW_INSTRUCTIONS, code_docs, conversation_messages, raw_instructions, table
+from loomspark.scratch import Stored
 from loomspark.sources.files import choose_files, from_cursor, load_files
 
 LENGTH, SEED, VAL_RATIO, SHARD, SAMPLES = 256, 42, 0.1, 64, 20
@@ -108,17 +109,17 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judged rows with hash, is_dup (within the source) and the character tokens of what stays."""
     judged = _judged(spark, sf_dir)
-    kept = judged.where("reject_reason is null").withColumn("hash", canonical_hash(F.col("text")))
-    least = kept.groupBy("source", "hash").agg(F.min("doc_id").alias("first__"))
-    kept = kept.join(least, ["source", "hash"]).withColumn("is_dup", F.col("doc_id") != F.col("first__"))
-    kept = kept.select("doc_id", "source", "reject_reason", "is_dup", F.when(~F.col("is_dup"), count_with_eos(CHAR, F.col("text"))).otherwise(0).alias("n_tokens"))
-    rest = judged.where("reject_reason is not null").select("doc_id", "source", "reject_reason", F.lit(False).alias("is_dup"), F.lit(0).cast("bigint").alias("n_tokens"))
-    return kept.unionByName(rest).persist()  # narrow, and read for the bounds, the totals and the windows
+    kept = F.col("reject_reason").isNull()
+    key = F.when(kept, F.concat_ws("/", canonical_hash(F.col("text")), F.coalesce("source", F.lit(""))))
+    # The cascade and the hash read each text once; what follows needs these narrow rows only.
+    verdicts = judged.select("doc_id", "source", "reject_reason", key.alias("hash"), F.when(kept, count_with_eos(CHAR, F.col("text"))).otherwise(0).alias("n_tokens"))
+    marked = marked_duplicates(Stored(verdicts, "counted").df(), BY_DOC)
+    return marked.select("doc_id", "source", "reject_reason", "is_dup", F.when(F.col("is_dup"), 0).otherwise(F.col("n_tokens")).cast("bigint").alias("n_tokens"))
 
 
 def _per_source(df: DataFrame, **limits: int) -> DataFrame:
     """Budgets of all sources in one plan: sums restart with each source."""
-    df = with_group_prefix_sums(df.withColumn("one__", F.lit(1)), "source", BY_DOC, {"pre__": "n_tokens", "row__": "one__"})
+    df = with_prefix_sums(df.withColumn("one__", F.lit(1)), BY_DOC, {"pre__": "n_tokens", "row__": "one__"}, group="source", whole=True)
     taken = F.lit(True)
     if "source_limit" in limits:
         taken = taken & (F.col("pre__") < limits["source_limit"])
@@ -436,8 +437,8 @@ def _manifest(df: DataFrame, tokens, unit: str, ending: str) -> DataFrame:
 s AS (SELECT i, CASE WHEN {_HEX.format('')} < {VAL_RATIO} THEN 'val' ELSE 'train' END AS split FROM seqs), r AS (SELECT split, (row_number() OVER (PARTITION BY split ORDER BY i) - 1) // {SHARD} AS shard FROM s)
 SELECT split, shard::BIGINT AS shard, (count(*) * {LENGTH})::BIGINT AS tokens, count(*)::BIGINT AS sequences, split || '-' || lpad(shard::VARCHAR, 5, '0') || '.bin' AS path FROM r GROUP BY split, shard""")
 def shard_manifest_pretrain(spark, sf_dir):
-    seqs = _packed(spark, sf_dir).withColumn("split", split_of(F.col("seq_index"), SEED, VAL_RATIO))
-    return _manifest(with_shards(seqs, "seq_index", SHARD), F.size("ids").cast("bigint"), "sequences", "bin")
+    seqs = _packed(spark, sf_dir).select("seq_index", F.size("ids").cast("bigint").alias("n"), split_of(F.col("seq_index"), SEED, VAL_RATIO).alias("split"))
+    return _manifest(with_shards(seqs, "seq_index", SHARD, whole=True), F.col("n"), "sequences", "bin")
 
 
 @_query(f"""{_CHATS}, numbered AS (SELECT row_number() OVER (ORDER BY conv_id) - 1 AS i, length(text) + 1 AS n FROM rendered),
@@ -447,7 +448,7 @@ def shard_manifest_sft(spark, sf_dir):
     chats = _chats(spark, sf_dir).select("conv_id", count_with_eos(CHAR, F.col("text")).alias("n"))
     ranked = with_rank(chats, ["conv_id"], "i")
     ranked = ranked.withColumn("split", split_of(F.col("i"), SEED, VAL_RATIO, samples=True))
-    return _manifest(with_shards(ranked, "i", SAMPLES), F.col("n"), "samples", "jsonl")
+    return _manifest(with_shards(ranked, "i", SAMPLES, whole=True), F.col("n"), "samples", "jsonl")
 
 
 @_query(f"""WITH n AS (SELECT sum(length(text) + 1) // {LENGTH} AS n FROM documents), seqs AS (SELECT unnest(range((SELECT n FROM n)::BIGINT)) AS i),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.config import SourceConfig
-from loomspark.operators.ordinal import with_rank
+from loomspark.operators.ordinal import with_prefix_sums, with_rank
 
 log = logging.getLogger(__name__)
 # Endings of data files and the reader each one means.
@@ -82,15 +82,6 @@ def resolve_files(spark: SparkSession, source: SourceConfig) -> list[str] | None
         return None
 
 
-def _numbered(spark: SparkSession, file: str, index: int) -> DataFrame:
-    """Rows of one file of JSON lines with file_index and row_offset (1-based: the place after the row)."""
-    # Text splits of a file are read in order, so a line's place follows from its split and its place there.
-    lines = spark.read.text(file).select("value", F.col("_metadata.file_block_start").alias("block__"), F.monotonically_increasing_id().alias("in__"))
-    ranked = with_rank(lines.where(F.trim("value") != ""), ["block__", "in__"], "rank__")
-    row = F.from_json("value", spark.read.json(file).schema, {"mode": "FAILFAST"})
-    return ranked.select(row.alias("row"), (F.col("rank__") + 1).alias("row_offset")).select("row.*", "row_offset", F.lit(index).alias("file_index"))
-
-
 def leaf_files(spark: SparkSession, files: list[str]) -> list[str]:
     """files, with a folder replaced by the data files in it, in order."""
     out = []
@@ -104,19 +95,20 @@ def leaf_files(spark: SparkSession, files: list[str]) -> list[str]:
 
 def load_files(spark: SparkSession, files: list[str]) -> DataFrame:
     """All files as one table with file_index and row_offset."""
-    reader = detect_reader(files)
-    if reader == "parquet":
-        # One scan of all files; a join with the short list of their names gives file_index.
-        plain = F.regexp_replace(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
-        leaves = [re.sub("^file:/+", "file:/", f) for f in leaf_files(spark, files)]
-        names = spark.createDataFrame(list(enumerate(leaves)), "file_index int, path__ string")
-        raw = spark.read.option("mergeSchema", True).parquet(*files).select("*", plain.alias("path__"), (F.col("_metadata.row_index") + 1).alias("row_offset"))
-        return raw.join(F.broadcast(names), "path__").drop("path__")
-    parts = [_numbered(spark, f, i) for i, f in enumerate(files)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    parquet = detect_reader(files) == "parquet"
+    # One scan of all files; a join with the list of their names gives file_index.
+    plain = F.regexp_replace(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/").alias("path__")
+    leaves = [re.sub("^file:/+", "file:/", f) for f in leaf_files(spark, files)]
+    names = spark.createDataFrame(list(enumerate(leaves)), "file_index int, path__ string")
+    if parquet:
+        raw = spark.read.option("mergeSchema", True).parquet(*files).select("*", plain, (F.col("_metadata.row_index") + 1).alias("row_offset"))
+        return raw.join(names, "path__").drop("path__")
+    # JSON lines. Text splits of a file are read in order, so a line's place follows from its split and its place there.
+    lines = spark.read.text(files).select("value", plain, F.col("_metadata.file_block_start").alias("block__"), F.monotonically_increasing_id().alias("in__"))
+    lines = lines.where(F.trim("value") != "").join(names, "path__").drop("path__").withColumn("one__", F.lit(1))
+    ranked = with_prefix_sums(lines, ["file_index", "block__", "in__"], {"rank__": "one__"}, group="file_index", whole=True)
+    row = F.from_json("value", spark.read.json(files).schema, {"mode": "FAILFAST"})
+    return ranked.select(row.alias("row"), (F.col("rank__") + 1).alias("row_offset"), "file_index").select("row.*", "row_offset", "file_index")
 
 
 def from_cursor(df: DataFrame, file_index: int, row_offset: int) -> DataFrame:
@@ -135,7 +127,7 @@ def number_stream(df: DataFrame, order: list[str] | None = None) -> DataFrame:
         return df if "file_index" in df.columns else df.withColumn("file_index", F.lit(0))
     if order is None:
         df = df.withColumn("id__", F.monotonically_increasing_id())
-        return with_rank(df, ["id__"], "row_offset").withColumn("row_offset", F.col("row_offset") + 1).withColumn("file_index", F.lit(0)).drop("id__")
+        return with_rank(df, ["id__"], "row_offset", whole=True).withColumn("row_offset", F.col("row_offset") + 1).withColumn("file_index", F.lit(0)).drop("id__")
     return with_rank(df, order, "row_offset").withColumn("row_offset", F.col("row_offset") + 1).withColumn("file_index", F.lit(0))
 
 

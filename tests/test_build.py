@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomspark import cli, report
 from loomspark.config import PipelineConfig, SourceConfig, config_hash, load_config, source_included
 from loomspark.operators.budget import apply_budgets
-from loomspark.operators.ordinal import with_group_prefix_sums, with_prefix_sums
+from loomspark.operators.ordinal import with_prefix_sums, with_rank
 from loomspark.operators.pack import pack_sequences
 from loomspark.operators.split import split_value, with_shards
 from loomspark.operators.tokenizers import CharTokenizer, load_tokenizer
@@ -106,11 +106,41 @@ def test_prefix_sums_over_files(spark):
     assert [x.pre for x in got] == [sum(y[3] for y in rows[:i]) for i in range(len(rows))]
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_prefix_sums_in_2000_slots(spark, whole):
+    df = spark.range(6000).selectExpr("0 as source", "id as k", "id % 7 as n", "if(id % 3 = 0, null, id) as m", "cast(id as string) as text").repartition(5)
+    got = with_prefix_sums(df, ["source", "k"], {"pre": "n", "pre_m": "m"}, partitions=2000, whole=whole).orderBy("k").collect()
+    at = at_m = 0
+    for i, x in enumerate(got):
+        assert (x.k, x.pre, x.pre_m, x.text) == (i, at, at_m, str(i))
+        at, at_m = at + i % 7, at_m + (i if i % 3 else 0)
+
+
+def test_ranks_of_one_source_use_many_slots(spark):
+    """The slots follow all order columns, also where the first ones are the same in all rows."""
+    from loomspark.scratch import Stored
+
+    made = []
+    first = Stored.__init__
+
+    def kept(self, df, name):
+        first(self, df, name)
+        made.append(self)
+
+    Stored.__init__ = kept
+    try:
+        with_rank(spark.range(4000).selectExpr("0 as s", "0 as f", "id as k"), ["s", "f", "k"]).count()
+    finally:
+        Stored.__init__ = first
+    sizes = [r["count"] for r in made[0].df().groupBy("slot__").count().collect()]
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 3 * 4000 / len(sizes)
+
+
 def test_prefix_sums_of_groups(spark):
     r = random.Random(2)
     rows = [(r.choice(["a", "a", "b", None]), k, r.randrange(9)) for k in range(90)]
     df = spark.createDataFrame(rows, "g string, k bigint, n int").repartition(5)
-    got = with_group_prefix_sums(df, "g", ["k"], {"pre": "n"}, partitions=6).orderBy("k").collect()
+    got = with_prefix_sums(df, ["k"], {"pre": "n"}, group="g", partitions=6).orderBy("k").collect()
     assert [x.pre for x in got] == [sum(y[2] for y in rows[:i] if y[0] == rows[i][0]) for i in range(90)]
 
 
