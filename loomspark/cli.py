@@ -5,12 +5,11 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.config import BASE, INSTRUCT, config_hash, load_config
+from loomspark.config import BASE, INSTRUCT, PRETRAIN, config_hash, load_config
 from loomspark.operators.dedup import exact_dedup
 from loomspark.operators.normalize import is_record, normalize, render
 from loomspark.operators.ordinal import first_rows
@@ -21,15 +20,18 @@ from loomspark.operators.tokenizers import encode_with_eos, load_tokenizer
 from loomspark.plans.pipeline import run_pipeline
 from loomspark.schema import MESSAGES
 from loomspark.sinks.shards import write_bin
-from loomspark.sources.files import load_files, number_stream, read_jsonl, resolve_source
-from loomspark.sources.objects import upload_directory
+from loomspark.sources.files import _fs, load_files, number_stream, read_jsonl, resolve_source
+from loomspark.sources.objects import get_json, upload_directory
+from loomspark.streaming.checkpoints import partial_metadata, publish_checkpoint, restore_checkpoint
+from loomspark.streaming.incremental import IncrementalBuild
 
 PLACE = ["file_index", "row_offset"]
 
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a file in order; of a folder that a stage wrote, by its own ordinals."""
-    if path.lower().endswith((".parquet", ".jsonl", ".json")) and Path(path).is_file():
+    fs, at = _fs(spark, path)
+    if path.lower().endswith((".parquet", ".jsonl", ".json")) and fs.exists(at) and fs.getFileStatus(at).isFile():
         return load_files(spark, [path])
     return number_stream(read_jsonl(spark, path))
 
@@ -54,6 +56,23 @@ def build(spark, args) -> None:
     print(json.dumps(metadata, indent=2, sort_keys=True))
 
 
+def build_incremental(spark, args) -> None:
+    """Takes in the files that were added to a folder; with a store, what it holds comes first and is published after."""
+    config = load_config(args.config)
+    if config.output_mode != PRETRAIN:
+        raise ValueError("incremental builds are for pretraining")
+    source = next(s for s in config.sources if s.name == args.source)
+    store = config.s3_output
+    if store and not args.skip_upload:
+        restore_checkpoint(spark, config, store)
+    build = IncrementalBuild(spark, config, source, load_tokenizer(config.tokenizer_path, config.fallback_tokenizer))
+    schema = spark.read.format(args.reader).load(args.input).schema
+    entries = build.run(args.input, schema, args.reader, args.files_per_batch, show=lambda line: print(line, file=sys.stderr))
+    if store and not args.skip_upload:
+        publish_checkpoint(spark, config, store)
+    print(json.dumps(partial_metadata(config, entries), indent=2, sort_keys=True))
+
+
 def normalize_stage(spark, args) -> None:
     _write(normalize(_rows(spark, args.input), args.name, args.command.removeprefix("normalize-"), language=args.language).where(is_record()), args.output)
 
@@ -80,7 +99,7 @@ def pack(spark, args) -> None:
 
 
 def show_report(spark, args) -> None:
-    print(json.dumps(json.loads(Path(args.input).read_text()), indent=2, sort_keys=True))
+    print(json.dumps(get_json(spark, args.input), indent=2, sort_keys=True))
 
 
 def upload(spark, args) -> None:
@@ -118,6 +137,12 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument(flag)
     p.add_argument("--skip-upload", action="store_true")
     p.add_argument("--resume", action=argparse.BooleanOptionalAction, default=True)
+    p = command("build-incremental", build_incremental, files=False)
+    for flag in ("--config", "--source", "--input"):
+        p.add_argument(flag, required=True)
+    p.add_argument("--reader", default="parquet", choices=("parquet", "json"))
+    p.add_argument("--files-per-batch", type=int, default=100)
+    p.add_argument("--skip-upload", action="store_true")
     for kind in (BASE, INSTRUCT):
         p = command(f"normalize-{kind}", normalize_stage)
         p.add_argument("--name", required=True)

@@ -141,9 +141,9 @@ def load_tokenizer(path: str, fallback: str | None = None) -> Tokenizer:
     raise FileNotFoundError(f"there is no tokenizer at {path}, and no fallback")
 
 
-def copy_tokenizer(path: str, output_dir: str, tokenizer: Tokenizer) -> str:
-    """output_dir/tokenizer made anew: the tokenizer's folder as it is, or else saved."""
-    target = Path(output_dir) / "tokenizer"
+def copy_tokenizer(path: str, folder: str, tokenizer: Tokenizer) -> str:
+    """folder/tokenizer made anew (folder on the driver's disk): the tokenizer's folder as it is, or else saved."""
+    target = Path(folder) / "tokenizer"
     if target.exists():
         shutil.rmtree(target)
     if os.path.isdir(path):

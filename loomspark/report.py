@@ -38,11 +38,6 @@ class Totals:
         return [s for s in self.shards if s[self.unit] > 0]
 
 
-def dump(path: str | Path, value: object) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(value, indent=2, sort_keys=True))
-
-
 def pretrain_manifest(config: PipelineConfig, totals: Totals, dtype: str) -> dict:
     tokens = {f"{s}_tokens": totals.of(s)[f"{s}_tokens"] for s in ("train", "val")}
     return {"sequence_length": config.sample_length, "dtype": dtype, "shard_sequences": config.shard_sequences, "total_tokens": totals.total_tokens, "shards": totals.written(), **tokens}

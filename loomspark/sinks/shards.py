@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
@@ -16,6 +16,8 @@ from pyspark.sql.types import StructType
 from loomspark.operators.split import shard_name
 
 ITEM = {"uint16": "<u2", "uint32": "<u4"}
+#: Hadoop's schemes by Arrow's.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
 
 
 def item_size(dtype: str) -> int:
@@ -25,7 +27,21 @@ def item_size(dtype: str) -> int:
 
 
 def _open(path: str) -> tuple[arrow_fs.FileSystem, str]:
-    return arrow_fs.FileSystem.from_uri(path) if "://" in path else (arrow_fs.LocalFileSystem(), path)
+    return arrow_fs.FileSystem.from_uri(arrow_uri(path)) if "://" in path else (arrow_fs.LocalFileSystem(), path)
+
+
+def arrow_uri(path: str) -> str:
+    """Arrow's address of what Hadoop names by another scheme."""
+    scheme, _, rest = path.partition("://")
+    return f"{SCHEMES.get(scheme, scheme)}://{rest}"
+
+
+def require_shared(spark: SparkSession, path: str) -> None:
+    """On a cluster a plain path is each executor's own disk, unless spark.loomspark.sharedPaths says that it is mounted everywhere."""
+    master = spark.sparkContext.master
+    alone = master.startswith("local") and not master.startswith("local-cluster")
+    if not alone and not path.partition("://")[2] and spark.conf.get("spark.loomspark.sharedPaths", "false") != "true":
+        raise ValueError(f"{path} must be an address in a store that all executors share")
 
 
 class Written(WriterCommitMessage):
@@ -96,6 +112,7 @@ class ShardWriter(DataSourceArrowWriter):
 
 
 def _write(df: DataFrame, path: str, index: str, **options: str) -> None:
+    require_shared(df.sparkSession, path)
     df.sparkSession.dataSource.register(TokenShards)
     rows = df.repartition("split", "shard").sortWithinPartitions("split", "shard", index).drop(index)
     rows.write.format("token_shards").mode("append").options(path=path, **options).save()
@@ -134,6 +151,14 @@ def file_size(path: str) -> int:
     return info.size if info.type == arrow_fs.FileType.File else 0
 
 
+def bytes_per_split(folder: str, shards: list[dict]) -> dict[str, int]:
+    """How many bytes the files of shards (split, path) hold, by split."""
+    out = {"train": 0, "val": 0}
+    for shard in shards:
+        out[shard["split"]] += file_size(f"{folder}/{shard['path']}")
+    return out
+
+
 def validate_bin(path: str, dtype: str, length: int) -> tuple[int, bool]:
     """Tokens in a file, and whether they are whole sequences; a missing file is (0, False)."""
     fs, name = _open(path)

@@ -45,11 +45,13 @@ def put_bytes(spark: SparkSession, uri: str, data: bytes) -> None:
     """Written beside its place and moved there, so readers never see a part."""
     fs, at = _fs(spark, hadoop_uri(uri))
     _, beside = _fs(spark, hadoop_uri(uri) + ".new")
+    fs.setWriteChecksum(False)
     stream = fs.create(beside, True)
     try:
         stream.write(bytearray(data))
     finally:
         stream.close()
+        fs.setWriteChecksum(True)
     if fs.exists(at):
         fs.delete(at, False)
     fs.rename(beside, at)

@@ -8,6 +8,7 @@ sequence are kept and begin the next batch, so nothing is lost between runs.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomspark.config import PipelineConfig, SourceConfig, config_hash
-from loomspark.operators.dedup import SeenTable
+from loomspark.operators.budget import apply_budgets
+from loomspark.operators.dedup import SeenTable, marked_duplicates
 from loomspark.operators.normalize import is_record
 from loomspark.operators.pack import pack_sequences
 from loomspark.operators.split import split_of, with_shards
 from loomspark.operators.tokenizers import Tokenizer, dtype_of
-from loomspark.plans.pipeline import PLACE, deduplicated, judged, shard_table, tokenized
+from loomspark.plans.pipeline import PLACE, hashed, judged, shard_table, staged, tokenized
 from loomspark.sinks.shards import write_bin
 from loomspark.sources.files import number_stream
+from loomspark.streaming.checkpoints import ProgressListener
 
 
 class Ledger:
@@ -65,24 +68,26 @@ class IncrementalBuild:
         tail = before[-1]["tail"] if before else []
         length = self.config.sample_length
         done_tokens = sum(e["tokens"] for e in before)
-        if done_tokens // length * length >= self.config.target_tokens:
+        if done_tokens // length * length >= self.config.target_tokens or done_tokens >= self.source.target_tokens:
             self.ledger.commit({"batch": number, "rows": 0, "tokens": 0, "sequences": 0, "tail": tail, "duplicates": 0, "rejected": {}, "shards": [], "completed": True})
             return
         seen = self.seen.load([e["batch"] for e in before])
         folder = f"{self.config.work_dir}/batches/{number:08d}"
-        done = tokenized(deduplicated(judged(number_stream(raw), self.source, 0, self.config.output_mode, self.config.system_prompt), seen), self.tokenizer, self.config.output_mode)
-        done.write.mode("overwrite").parquet(folder)
-        staged = self.spark.read.schema(done.schema).parquet(folder)
-        accepted = staged.where("n_tokens > 0")
-        counts = staged.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_dup").cast("bigint")).alias("dups"), F.sum("n_tokens").alias("tokens")).collect()
+        records = staged(hashed(judged(number_stream(raw), self.source, 0, self.config.output_mode, self.config.system_prompt)), f"{folder}-judged")
+        rows = staged(tokenized(marked_duplicates(records, PLACE, seen), self.tokenizer, self.config.output_mode), folder)
+        # The budgets of the source and of the build cut inside a batch, as they do in a build in one run.
+        narrow = apply_budgets(rows.select(*PLACE, "n_tokens"), PLACE, source_limit=self.source.target_tokens - done_tokens, target=self.config.target_tokens, before=done_tokens, block=length)
+        cut = narrow.where("processed").agg(F.max(F.struct(*PLACE)).alias("x")).first()["x"]
+        taken = rows.where(F.struct(*PLACE) <= F.struct(F.lit(cut[0]), F.lit(cut[1]).cast("bigint"))) if cut else rows.where(F.lit(False))
+        accepted = taken.where("n_tokens > 0")
+        counts = taken.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_dup").cast("bigint")).alias("dups"), F.sum("n_tokens").alias("tokens")).collect()
         tokens = sum(r["tokens"] or 0 for r in counts)
 
         head = self.spark.createDataFrame([(-1, 0, tail)], "file_index int, row_offset bigint, tokens array<int>")
         stream = accepted.select(*PLACE, "tokens").unionByName(head)
-        packed = pack_sequences(stream, PLACE, length).withColumn("seq_index", F.col("seq_index") + sequences)
+        packed = staged(pack_sequences(stream, PLACE, length).withColumn("seq_index", F.col("seq_index") + sequences), f"{folder}-packed")
         made = with_shards(packed.withColumn("split", split_of(F.col("seq_index"), self.config.seed, self.config.val_ratio)), "seq_index", self.config.shard_sequences)
-        made.write.mode("overwrite").parquet(f"{folder}-sequences")
-        made = self.spark.read.schema(made.schema).parquet(f"{folder}-sequences")
+        made = staged(made, f"{folder}-sequences")
         shards = shard_table(made, "sequences", F.size("ids").cast("bigint"), "bin")
         write_bin(made, f"{self.config.output_dir}/batch={number:08d}", dtype_of(self.tokenizer.vocab_size))
         self.seen.append(accepted, number)
@@ -112,8 +117,18 @@ class IncrementalBuild:
                 break
         return out[-left:]
 
-    def run(self, folder: str, schema: StructType, reader: str = "parquet", files_per_batch: int = 100) -> list[dict]:
-        """Takes in all files that are there now, then stops. Returns the ledger."""
+    def run(self, folder: str, schema: StructType, reader: str = "parquet", files_per_batch: int = 100, show: Callable[[str], None] | None = None) -> list[dict]:
+        """Takes in all files that are there now, then stops. Returns the ledger. show gets a line after each batch."""
+        listener = ProgressListener(self.source.name, self.source.target_tokens, show, lambda: sum(e["tokens"] for e in self.ledger.entries())) if show else None
+        if listener:
+            self.spark.streams.addListener(listener)
+        try:
+            return self._run(folder, schema, reader, files_per_batch)
+        finally:
+            if listener:
+                self.spark.streams.removeListener(listener)
+
+    def _run(self, folder: str, schema: StructType, reader: str, files_per_batch: int) -> list[dict]:
         stream = self.spark.readStream.format(reader).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(folder)
         query = stream.writeStream.foreachBatch(self.batch).option("checkpointLocation", f"{self.config.work_dir}/checkpoint").trigger(availableNow=True).start()
         query.awaitTermination()

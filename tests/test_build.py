@@ -67,6 +67,62 @@ def test_a_cut_row_does_not_suppress_its_copy(spark, tmp_path):
     assert json.loads((tmp_path / "report.json").read_text())["deduplicated_count"] == 2
 
 
+def test_a_build_that_broke_off_goes_on(spark, tmp_path, monkeypatch):
+    from loomspark.plans import pipeline as P
+
+    rows = {n: spark.createDataFrame([(i + 1, TEXT + f"# {n} {i % 3}", "a.py") for i in range(5)], "row_offset bigint, content string, path string") for n in "ab"}
+    big = dict(target_tokens=10**6, write_intermediate_jsonl=False)
+    whole = run_pipeline(spark, w := config(tmp_path / "whole", [source("a", limit=10**6), source("b", limit=10**6)], **big), streams=rows)
+    c = config(tmp_path / "broken", [source("a", limit=10**6), source("b", limit=10**6)], **big)
+    built, really = [], P.build_source
+
+    def counted(spark_, config_, source_, *rest):
+        built.append(source_.name)
+        if built == ["a", "b"]:
+            raise RuntimeError("lost")
+        return really(spark_, config_, source_, *rest)
+
+    monkeypatch.setattr(P, "build_source", counted)
+    with pytest.raises(RuntimeError):
+        run_pipeline(spark, c, streams=rows)
+    assert list(json.loads(Path(c.progress_path).read_text())["sources_done"]) == ["a"]
+    assert run_pipeline(spark, c, streams=rows) == whole
+    assert built == ["a", "b", "b"]
+    for s in whole["shards"]:
+        assert (Path(c.output_dir) / s["path"]).read_bytes() == (Path(w.output_dir) / s["path"]).read_bytes()
+    progress = json.loads(Path(c.progress_path).read_text())
+    assert progress["completed"] is False and progress["train_bytes"] == 2 * whole["train_tokens"]  # short of its target
+    run_pipeline(spark, c, streams=rows)  # so it is built anew
+    assert built[3:] == ["a", "b"]
+
+
+def test_samples_without_tokens(spark, tmp_path):
+    class Nothing(CharTokenizer):
+        def count(self, text):
+            return F.lit(0).cast("bigint")
+
+    turns = [("user", TEXT), ("assistant", TEXT)]
+    rows = spark.createDataFrame([(1, turns)], "row_offset bigint, messages array<struct<role:string,content:string>>")
+    c = config(tmp_path, [source("a", "instruct")], output_mode="pretrain")
+    run_pipeline(spark, c, streams={"a": rows}, tokenizer=Nothing())
+    assert json.loads(Path(c.progress_path).read_text())["rejected_counts"] == {"empty_tokens": 1}
+
+
+def test_incremental_budget_inside_a_batch(spark, tmp_path):
+    c = config(tmp_path, [source(limit=200)], target_tokens=10**9, write_intermediate_jsonl=False)
+    build = IncrementalBuild(spark, c, c.sources[0], CharTokenizer())
+    build.batch(spark.createDataFrame([(i + 1, TEXT + f"# {i}") for i in range(20)], "row_offset bigint, text string"), 0)
+    build.batch(spark.createDataFrame([(1, TEXT + "# more")], "row_offset bigint, text string"), 1)
+    first, second = build.ledger.entries()
+    assert 200 <= first["tokens"] < 200 + len(TEXT) + 8 and second["tokens"] == 0
+
+
+def test_stores_by_their_scheme(tmp_path):
+    from loomspark.sinks import shards as S
+
+    assert S.arrow_uri("s3a://bucket/a/b") == "s3://bucket/a/b" and S._open(f"file://{tmp_path}/x")[1] == f"{tmp_path}/x"
+
+
 def test_sft_build(spark, tmp_path):
     rows = spark.createDataFrame([(i, f"Write function number {i} that adds two values", f"def f{i}(a, b):\n    return a + b + {i}\n") for i in range(1, 9)], "row_offset bigint, instruction string, response string")
     c = config(tmp_path, [source(kind="instruct", limit=10_000), source("base")], output_mode="sft_jsonl", target_tokens=400, sft_samples_per_shard=2, val_ratio=0.5)
