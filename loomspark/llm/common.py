@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
 import os
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspark.scratch import Stored, scratch_path
+
+
+__all__ = ["Stored", "bounded_batches", "free_name", "groups", "release", "scratch_path", "table", "text_or_empty", "tokenizer_path", "without"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,66 +31,12 @@ def bounded_batches(spark: SparkSession, most: str = "8m") -> None:
         spark.conf.set(key, most)
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the session names in spark.checkpoint.dir; one of our own only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="loomspark-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
-
-
-_OWN: dict[str, str] = {}
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared folder; what is left there goes when the driver ends."""
-    own = _OWN.get(root := scratch_root(spark))
-    if own is None:
-        own = _OWN[root] = f"{root}/loomspark-{uuid.uuid4().hex}"
-        atexit.register(_quietly_remove, spark, own)
-    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def _quietly_remove(spark: SparkSession, path: str) -> None:
-    try:
-        if spark.sparkContext._jsc is not None:
-            remove(spark, path)
-    except Exception:  # the session may be gone; a cluster's own clean-up then applies
-        pass
-
-
-class Stored:
-    """A table written to the shared folder: cuts lineage, survives lost executors, is removable."""
-
-    def __init__(self, df: DataFrame, name: str):
-        self.spark, self.path = df.sparkSession, scratch_path(df.sparkSession, name)
-        df.write.option("compression", "zstd").parquet(self.path)
-        self.schema = df.schema
-
-    def df(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
-
-    def drop(self) -> None:
-        remove(self.spark, self.path)
-
-
 def release(spark: SparkSession) -> None:
     """Lets Spark remove the shuffle files of finished steps now, not when the driver happens to collect its garbage."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    return Stored(df, name).df()
-
-
 def free_name(taken: list[str], want: str) -> str:
     """want, or the first of want_1, want_2 ... that no column has, whatever the case."""
     low, name, i = {x.lower() for x in taken}, want, 0

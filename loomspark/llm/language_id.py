@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import bounded_batches, table, text_or_empty, without
+from loomspark.llm.common import bounded_batches, free_name, table, text_or_empty, without
 
 #: Fixed: languages by family. A language not listed is a family of its own.
 FAMILIES = {
@@ -130,7 +130,8 @@ def _sparse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def fit(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 800) -> Model:
-    """A model from the rows of labelled whose language isn't null."""
+    """A model from the rows of labelled whose language isn't null: at most per_language of each, so 4 * per_language * SIZE
+    bytes a language on the driver (26 MB with the defaults)."""
     bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 40)).alias("h"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -161,7 +162,8 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", *, lang_out: s
     guess = F.arrow_udf(predicted, "struct<lang:string,score:double>").asNondeterministic()(text_or_empty(text_col))
     kept = without(df, lang_out, score_out)
     names = [f"`{c}`" for c in kept.columns]
-    return df.select(*names, guess.alias("guess__")).select(*names, F.col("guess__.lang").alias(lang_out), F.col("guess__.score").alias(score_out))
+    own = free_name(df.columns, "guess__")
+    return df.select(*names, guess.alias(own)).select(*names, F.col(f"{own}.lang").alias(lang_out), F.col(f"{own}.score").alias(score_out))
 
 
 def held_out(id_col: str = "doc_id"):

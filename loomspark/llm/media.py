@@ -37,6 +37,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from pyspark.sql.types import StructType
 
 from loomspark.llm.common import bounded_batches, scratch_path, table, text_or_empty
+from loomspark.sinks.shards import arrow_uri
 
 WIDTH = 64
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
@@ -87,7 +88,8 @@ def from_png(image: bytes) -> tuple[bytes, int]:
 
 
 def _open(uri: str) -> tuple[arrow_fs.FileSystem, str]:
-    return arrow_fs.FileSystem.from_uri(uri)
+    """Arrow's file system of an address; Hadoop's names of the same stores serve too."""
+    return arrow_fs.FileSystem.from_uri(arrow_uri(uri))
 
 
 class Range(InputPartition):

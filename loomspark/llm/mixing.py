@@ -183,13 +183,13 @@ def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float] |
     return steps, {"domains": domains, "have": have, "target": target, "reached": reached, "rounds": len(steps)}
 
 
-def mix(df: DataFrame, labels: DataFrame, weights: dict[str, float] | None, *, floor: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", tokens: float | None = None, carry: list[str] | None = None, **fit: int) -> DataFrame:
-    """df (columns carry, by default all but the text) with n_tokens, p_<domain>, rate and copies.
+def mix(df: DataFrame, labels: DataFrame, weights: dict[str, float] | None, *, floor: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", tokens: float | None = None, carry: list[str] | None = None, prefix: str = "", **fit: int) -> DataFrame:
+    """df (columns carry, by default all but the text) with n_tokens, p_<domain>, rate and copies, each name behind prefix.
 
     copies is the rate rounded down or up, by a hash of id and tokens, so that its expectation is the rate.
     """
     model = Classifier.fit(df, labels, id_col=id_col, text_col=text_col, **fit)
-    out = ["n_tokens", *(f"p_{d}" for d in model.domains), "rate", "copies"]
+    out = [f"{prefix}{x}".lower() for x in ("n_tokens", *(f"p_{d}" for d in model.domains), "rate", "copies")]
     carry = [c for c in (carry or [c for c in df.columns if c != text_col]) if c.lower() not in out]
     slim = df.select(*[F.col(f"`{c}`").alias(f"own__{i}") for i, c in enumerate(carry)], text_or_empty(text_col).alias("text"), F.col(f"`{id_col}`").alias("id__"), _lang(df).alias("lang"))
     slim = slim.withColumn("n__", n_tokens(F.col("text")))
@@ -203,10 +203,10 @@ def mix(df: DataFrame, labels: DataFrame, weights: dict[str, float] | None, *, f
     rated = scored.withColumn("rate__", rate_column(steps, F.col("posterior__")))
     return rated.select(
         *[F.col(f"own__{i}").alias(c) for i, c in enumerate(carry)],
-        F.col("n__").alias("n_tokens"),
-        *[F.col("posterior__")[i].alias(f"p_{d}") for i, d in enumerate(model.domains)],
-        F.col("rate__").alias("rate"),
-        F.floor(F.col("rate__") + dice).cast("bigint").alias("copies"),
+        F.col("n__").alias(f"{prefix}n_tokens"),
+        *[F.col("posterior__")[i].alias(f"{prefix}p_{d}") for i, d in enumerate(model.domains)],
+        F.col("rate__").alias(f"{prefix}rate"),
+        F.floor(F.col("rate__") + dice).cast("bigint").alias(f"{prefix}copies"),
     )
 
 

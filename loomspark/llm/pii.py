@@ -19,13 +19,14 @@ import datetime
 import hashlib
 import os
 import re
+import secrets
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import bounded_batches, table, without
+from loomspark.llm.common import bounded_batches, free_name, table, without
 
 KINDS = ("email", "phone", "card", "ip", "iban", "ssn", "date", "secret")
 _LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -38,7 +39,7 @@ _FIND = re.compile(
   | \b(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[:=]\s*["'](?P<quoted>[A-Za-z0-9+/_=-]{8,})["']
   | \b(?P<iban>[A-Z]{2}\d\d(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)\b
   | (?<![\w.-])(?P<ssn>\d{3}-\d\d-\d{4})(?![\w-])
-  | (?<![\w.-])(?P<date>\d{4}-\d\d-\d\d|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\w-])
+  | (?<![\w.-])(?P<date>\d{4}-\d\d-\d\d|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?![\w-])|(?=T\d\d:\d\d))
   | (?<!\d)(?<!\d\.)(?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?!\d|\.\d)
   | (?<!\d)(?<!\d[.-])(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d) | \+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d))
   | (?<!\d)(?<!\d\.)(?P<card>\d{13,19} | \d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7} | \d{4}[ -]\d{6}[ -]\d{5})(?!\d)
@@ -201,6 +202,10 @@ class Pseudonyms:
         return _FIND.sub(replaced, text), counts
 
 
+#: Known to this driver only.
+_RANDOM_KEY = secrets.token_hex(32)
+
+
 def _luhn(body: str) -> str:
     """The check digit of body."""
     total = sum((2 * int(d) - 9 * (d > "4")) if i % 2 == 0 else int(d) for i, d in enumerate(reversed(body)))
@@ -212,8 +217,9 @@ def _mod97(text: str) -> int:
 
 
 def default_key() -> bytes:
-    """LOOMSPARK_PII_KEY of the driver; a fixed key where it is unset, as in tests."""
-    return os.environ.get("LOOMSPARK_PII_KEY", "loomspark").encode()
+    """LOOMSPARK_PII_KEY of the driver. Where it is unset, a random key for as long as the driver runs: equal values are
+    linked within its results, and nobody can invert them. Set it to link results of several runs."""
+    return os.environ.get("LOOMSPARK_PII_KEY", _RANDOM_KEY).encode()
 
 
 def pseudonymize(df: DataFrame, key: bytes, text_col: str = "text", *, out_col: str | None = None, count_prefix: str | None = "n_") -> DataFrame:
@@ -236,7 +242,8 @@ def pseudonymize(df: DataFrame, key: bytes, text_col: str = "text", *, out_col:
     kept = [c for c in without(df, out_col, *counted).columns]
     done = F.arrow_udf(replaced, "struct<text:string," + ",".join(f"{k}:bigint" for k in KINDS) + ">")(F.col(text_col))
     plain = [F.col(f"`{c}`") for c in kept]
-    return df.select(*plain, done.alias("done__")).select(*plain, F.col("done__.text").alias(out_col), *(F.col(f"done__.{k}").alias(c) for k, c in zip(KINDS, counted)))
+    own = free_name(df.columns, "done__")
+    return df.select(*plain, done.alias(own)).select(*plain, F.col(f"{own}.text").alias(out_col), *(F.col(f"{own}.{k}").alias(c) for k, c in zip(KINDS, counted)))
 
 
 def op6_pii(spark, sf_dir):

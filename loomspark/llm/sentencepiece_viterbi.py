@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import bounded_batches, table, text_or_empty, tokenizer_path, without
+from loomspark.llm.common import bounded_batches, free_name, table, text_or_empty, tokenizer_path, without
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
@@ -369,8 +369,9 @@ def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", *, ids_c
 
     kept = without(df, ids_col, digest_col, same_col)
     names = [F.col(f"`{c}`") for c in kept.columns]
-    done = df.select(*names, coded(text_or_empty(text_col)).alias("coded__"))
-    return done.select(*names, F.col("coded__.ids").alias(ids_col), F.col("coded__.digest").alias(digest_col), F.col("coded__.same").alias(same_col))
+    own = free_name(df.columns, "coded__")
+    done = df.select(*names, coded(text_or_empty(text_col)).alias(own))
+    return done.select(*names, F.col(f"{own}.ids").alias(ids_col), F.col(f"{own}.digest").alias(digest_col), F.col(f"{own}.same").alias(same_col))
 
 
 def op10_sentencepiece(spark, sf_dir):

@@ -117,6 +117,20 @@ def test_pipeline_on_odd_documents(spark, docs_of, folder_of, tmp_path):
     assert run_stages(spark, docs_of([]), path, tmp_path / "b")[-1].collect() == []
 
 
+def test_pipeline_keeps_extra_columns_and_rows_without_an_id(spark, docs_of, folder_of, tmp_path):
+    labels = spark.createDataFrame([(5, 1, 0), (6, 0, 0)], "doc_id bigint, quality int, toxic int")
+    path = folder_of(labels=labels)
+    t = "The quick brown fox jumps over the lazy dog again and again"
+    for name, last in (("distinct", 6), ("repeated", 5)):  # whether any id repeats changes nothing for those without one
+        odd = docs_of([(None, t), (None, t), (5, t + " b one two three four five six"), (last, "Something else in English, which is not like the others")])
+        extra = {"rate": F.lit(7.0), "copies": F.lit("mine"), "n_tokens": F.lit(-1), "Mix__rate": F.lit(0), "done__": F.lit("d"), "guess__": F.lit("g"), "lang_pred__": F.lit("l"), "score__": F.lit(2)}
+        for c, v in extra.items():
+            odd = odd.withColumn(c, v)
+        rows = run_stages(spark, odd, path, tmp_path / name)[-2].collect()
+        assert sum(r.doc_id is None for r in rows) == 2 and len(rows) == (4 if last == 6 else 3)
+        assert {(r.rate, r.copies, r.n_tokens, r.Mix__rate, r.done__, r.guess__, r.lang_pred__, r.score__) for r in rows} == {(7.0, "mine", -1, 0, "d", "g", "l", 2)}
+
+
 def test_registered_queries(spark):
     names = [q for q in entry.queries() if q.startswith("op")]
     assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11)) and "pipeline" in entry.queries()
