@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomspark import cli, report
-from loomspark.config import PipelineConfig, SourceConfig, config_hash, load_config, source_included
+from loomspark.config import SFT, PipelineConfig, SourceConfig, config_hash, load_config, source_included
 from loomspark.operators.budget import apply_budgets
 from loomspark.operators.ordinal import with_prefix_sums, with_rank
 from loomspark.operators.pack import pack_sequences
@@ -103,7 +103,7 @@ def test_samples_without_tokens(spark, tmp_path):
 
     turns = [("user", TEXT), ("assistant", TEXT)]
     rows = spark.createDataFrame([(1, turns)], "row_offset bigint, messages array<struct<role:string,content:string>>")
-    c = config(tmp_path, [source("a", "instruct")], output_mode="pretrain")
+    c = config(tmp_path, [source("a", "instruct")], output_mode=SFT)
     run_pipeline(spark, c, streams={"a": rows}, tokenizer=Nothing())
     assert json.loads(Path(c.progress_path).read_text())["rejected_counts"] == {"empty_tokens": 1}
 
