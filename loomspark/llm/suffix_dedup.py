@@ -11,18 +11,19 @@ another, is removed. Matches never cross documents.
   sampled. A cover modulo 3 does that for any text at two thirds of its places; this one is chosen by
   content: the suffix sampled for a start is the one with the least 27-byte name among the next 320 places,
   with the first of equals. Equal strings choose the same offset, and only about one place in 126 is sampled (measured).
-* Sampled suffixes are sorted by their 81-byte names. Starts that share a sampled suffix are a run. A name met once settles
-  that its run's strings occur nowhere else; a name whose runs all have the same whole context settles that
-  they all do.
-* The remaining suffixes, those of runs with different contexts under one name (the edges of
-  copies and passages), are merged in two steps, one representative for each context with the number of its copies. First in
-  blocks of 16 starts: a block whose strings' common core is met once is alone, one whose whole context is met again
-  is repeated. Then, for the blocks that neither settles, single starts are merged by the names of their first
-  ``width`` bytes. Equal neighbours are repeats; the starts that stay alone are not.
-
-No group is ever gathered in one task: all counting is by aggregates that combine before the shuffle. Runs
-and lonely starts are collected for one document only, so are bounded by its length. Texts are read in
-chunks, so that memory doesn't follow their length.
+* The sampled suffixes are sorted, by the triple of names that begins them (81 bytes) and then by their whole context: a sort by range over all
+  tasks. Neighbours are compared: starts that share a sampled suffix are a run; a triple met once settles that its run's
+  strings occur nowhere else, one whose neighbours all have the same context that they all do.
+* The remaining suffixes, those of runs with different contexts under one triple (the edges of
+  copies and passages), are merged in two more sorts, one representative for each context with the number of its copies. First in
+  blocks of 16 starts: a block whose strings' common core has no equal neighbour is alone, one whose neighbours all have its
+  context is repeated. Then, for the blocks that neither settles, single starts are sorted by the names of their first
+  ``width`` bytes and compared with their neighbours: equal neighbours are repeats; the starts without one are not.
+
+No group is ever gathered in one task: a sort's ranges are cut inside a group where it is large, and the pieces of
+a group at the ends of two ranges are put together from one row each. Runs and lonely starts are gathered for one
+document only: 16 bytes for each, which is at most one for each byte (in texts that repeat a few bytes over and over) and usually one
+in a hundred. Texts are named in chunks, and runs go out chunk by chunk.
 
 Null texts are empty. Texts shorter than ``width`` bytes stay whole. Repeated rows are documents like others, so
 a long text that occurs twice goes whole. Null ids are allowed. An empty table gives an empty table. Extra columns are not carried.
@@ -72,9 +73,8 @@ def _whole(big: np.ndarray, start: np.ndarray, length: np.ndarray | int) -> np.n
     return mixed(mixed(big[start]) * p[0] + mixed(big[np.minimum(start + 243, last)]) * p[1] + mixed(big[last]) * p[2] + np.asarray(length, np.uint64))
 
 
-def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each run of starts that share a sampled suffix: the suffix's name, the context's name, first and last start."""
-    found = []
+def runs(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each run of starts that share a sampled suffix: the suffix's name, the context's name, first and last start; by chunks."""
     for at in range(0, max(0, len(data) - WIDTH + 1), CHUNK):
         b = np.frombuffer(data, np.uint8)[at : at + CHUNK + WIDTH - 1]
         starts = len(b) - WIDTH + 1
@@ -89,20 +89,31 @@ def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         last = np.concatenate([first[1:], [starts]]) - 1
         place = sampled[first]
         context = _whole(level[5], first, last - first + WIDTH) ^ mixed((place - first).astype(np.uint64))
-        found.append((mixed(level[4][place]), context, first + at, last + at))
-    if not found:
-        return tuple(np.empty(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64))
-    return tuple(np.concatenate(c) for c in zip(*found))
+        yield mixed(level[4][place]), context, first + at, last + at
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row, digest, name, context, first, last), chunk by chunk of each text."""
+    held: list[tuple] = []
+    n = 0
 
+    def rows() -> pa.RecordBatch:
+        columns = [np.concatenate([x[i] for x in held]) for i in range(len(_RUN))]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _RUN)
 
-def _runs(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        for at in range(0, len(batch), 256):
-            parts = [runs(x.as_py().encode("utf-8", "replace")) for x in batch.slice(at, 256)]
-            ends = pa.array(np.cumsum([0, *(len(p[0]) for p in parts)]).astype(np.int32))
-            name, context, first, last = (np.concatenate([p[i] for p in parts]) for i in range(4))
-            rows = pa.StructArray.from_arrays([pa.array(name.view(np.int64)), pa.array(context.view(np.int64)), pa.array(first), pa.array(last)], ["name", "context", "first", "last"])
-            yield pa.ListArray.from_arrays(ends, rows)
+        for row, digest, text in zip(batch["row"].to_pylist(), batch["digest"].to_pylist(), batch["text"]):
+            for name, context, first, last in runs(text.as_py().encode("utf-8", "replace")):
+                held.append((np.full(len(name), row), np.full(len(name), digest), name.view(np.int64), context.view(np.int64), first, last))
+                n += len(name)
+                if n >= 1 << 16:
+                    yield rows()
+                    held, n = [], 0
+    if held:
+        yield rows()
+
+
+_RUN = ["row", "digest", "name", "context", "first", "last"]
 
 
 def _regions(first: np.ndarray, last: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
@@ -216,48 +227,110 @@ def _kept(with_bytes: bool):
     return F.arrow_udf(kept, "struct<n_removed:bigint,n_spans:bigint,kept_sha256:string,kept:binary>")
 
 
+_SETTLED = "copies bigint, context bigint, high bigint, row bigint, digest bigint, first bigint, last bigint, status int, head boolean"
+ALONE, ALIKE, UNLIKE, OPEN, EDGE = range(5)
+
+
+def _neighbours(group: list[str], drop_alone: bool):
+    """Compares neighbours in a sorted partition. Each row gets its group's status, head for the first row of those with one
+    context, and copies for all of these. The first and the last group of a partition may go on in the next one: they
+    are open, and an edge row tells what is here of each."""
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(t: pa.Table, open_first: bool, open_last: bool) -> pa.RecordBatch:
+            t = t.combine_chunks()
+            col = {c: t[c].to_numpy() for c in t.column_names}
+            change = np.zeros(len(t), bool)
+            change[0] = True
+            for c in group:
+                change[1:] |= col[c][1:] != col[c][:-1]
+            start = np.flatnonzero(change)
+            total, low = np.add.reduceat(col["copies"], start), col["context"][start]
+            high = col["context"][np.append(start[1:], len(t)) - 1]
+            status = np.where(total == 1, ALONE, np.where(low == high, ALIKE, UNLIKE)).astype(np.int32)
+            edges = sorted({*([0] if open_first else []), *([len(start) - 1] if open_last else [])})
+            status[edges] = OPEN
+            change[1:] |= col["context"][1:] != col["context"][:-1]
+            classes = np.flatnonzero(change)
+            copies = col["copies"].copy()
+            copies[classes] = np.add.reduceat(col["copies"], classes)
+            own = np.repeat(status, np.diff(np.append(start, len(t))))
+            keep = np.flatnonzero(own != ALONE) if drop_alone else np.arange(len(t))
+            edge = start[edges]
+            both = {c: np.concatenate([col[c][keep], col[c][edge]]) for c in (*group, "row", "digest", "first", "last")}
+            both |= {"copies": np.concatenate([copies[keep], total[edges]]), "context": np.concatenate([col["context"][keep], low[edges]]), "high": np.concatenate([col["context"][keep], high[edges]])}
+            both |= {"status": np.concatenate([own[keep], np.full(len(edge), EDGE, np.int32)]), "head": np.concatenate([change[keep], np.ones(len(edge), bool)])}
+            names = [*group, *(x.split()[0] for x in _SETTLED.split(", "))]
+            return pa.RecordBatch.from_arrays([pa.array(both[c]) for c in names], names)
+
+        rest, first, size = None, True, 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            rest = pa.concat_tables([*([rest] if rest is not None else []), pa.Table.from_batches([batch])])
+            last = [rest[c][len(rest) - 1].as_py() for c in group]
+            same = np.ones(len(rest), bool)
+            for c, x in zip(group, last):
+                same &= rest[c].to_numpy() == x
+            cut = len(rest) - int(same.sum())  # the last group may go on in the next batch
+            if cut >= 1 << 15:
+                yield settle(rest.slice(0, cut), first, False)
+                rest, first = rest.slice(cut), False
+        if rest is not None and len(rest):
+            yield settle(rest, first, True)
+
+    return neighbours
+
+
+def settled(df: DataFrame, group: list[str], name: str, *, drop_alone: bool = False) -> Stored:
+    """Suffixes (group, context, copies, row, digest, first, last) sorted by group and context and compared with their neighbours.
+
+    Adds status: ALONE (one copy in its group), ALIKE (several, all of one context) or UNLIKE; head; and copies of a head's
+    context. The range sort goes on to the place in the text, so a group of any size is dealt to many tasks. The edges, at
+    most two for each partition of the sort, are small enough to be broadcast.
+    """
+    order = [*group, "context", "row", "first"]
+    rows = df.select(*group, "context", "copies", "row", "digest", "first", "last").repartitionByRange(*order).sortWithinPartitions(*order)
+    found = Stored(rows.mapInArrow(_neighbours(group, drop_alone), ", ".join(f"{c} bigint" for c in group) + ", " + _SETTLED), f"{name}-sorted")
+    edges = found.df().where(F.col("status") == EDGE).groupBy(*group).agg(F.sum("copies").alias("n"), F.min("context").alias("low"), F.max("high").alias("top"))
+    status = F.when(F.col("n") == 1, ALONE).when(F.col("low") == F.col("top"), ALIKE).otherwise(UNLIKE)
+    edges = edges.select(*group, status.alias("found"))
+    done = found.df().where(F.col("status") < EDGE).join(F.broadcast(edges), group, "left")
+    done = done.withColumn("status", F.when(F.col("status") == OPEN, F.col("found")).otherwise(F.col("status"))).drop("found", "high")
+    out = Stored(done.where(F.col("status") != ALONE) if drop_alone else done, name)
+    found.drop()
+    return out
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, with_bytes: bool = True) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) for each row; kept (null unless with_bytes) is what remains."""
     bounded_batches(df.sparkSession)
     spark, digest = df.sparkSession, F.xxhash64(F.col(text_col))
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("bigint"), digest).alias("row"), digest.alias("digest"), text_or_empty(text_col).alias("text"))
     one = ["row", "digest"]
-    found = docs.where(F.octet_length("text") >= WIDTH).select(*one, F.arrow_udf(_runs, "array<struct<name:bigint,context:bigint,first:bigint,last:bigint>>")("text").alias("runs"))
-    found = Stored(found.select(*one, F.inline("runs")), "suffix-runs")
-    by_name = found.df().groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).where("n > 1")
-    by_name = Stored(by_name.select("name", (F.col("low") == F.col("high")).alias("alike")), "suffix-names")
-    shared = Stored(found.df().join(by_name.df(), "name"), "suffix-shared")
+    found = docs.where(F.octet_length("text") >= WIDTH).select(*one, "text").mapInArrow(_runs, ", ".join(f"{c} bigint" for c in _RUN))
+    found = Stored(found, "suffix-runs")
+    shared = settled(found.df().withColumn("copies", F.lit(1).cast("bigint")), ["name"], "suffix-shared", drop_alone=True)
     found.drop()
-    by_name.drop()
     release(spark)
 
-    def wanted(runs: DataFrame, *keys: str, copies=None) -> DataFrame:
-        """One representative for each group of runs by keys, with its copies, gathered by document."""
-        chosen = F.min(F.struct(*one, "first", "last"))
-        total = F.count(F.lit(1)) if copies is None else copies
-        by = runs.groupBy(*keys).agg(total.alias("copies"), chosen.alias("x"))
-        run = F.struct("name", "copies", F.col("x.first").alias("first"), F.col("x.last").alias("last"))
-        return by.select(F.col("x.row").alias("row"), F.col("x.digest").alias("digest"), run.alias("run")).groupBy(*one).agg(F.collect_list("run").alias("wanted"))
+    def wanted(rows: DataFrame) -> DataFrame:
+        """The first suffix of each context, with its copies, gathered by document."""
+        run = F.struct("name", "copies", "first", "last")
+        return rows.where((F.col("status") == UNLIKE) & F.col("head")).groupBy(*one).agg(F.collect_list(run).alias("wanted"))
 
-    unlike = wanted(shared.df().where("not alike"), "name", "context")
-    texts = Stored(docs.select(*one, "text").join(unlike, one), "suffix-texts")
-    release(spark)
+    texts = Stored(docs.select(*one, "text").join(wanted(shared.df()), one), "suffix-texts")
     inside = texts.df().select(*one, _each(blocks, _BLOCKS)("text", "wanted").alias("blocks"))
-    inside = Stored(inside.select(*one, F.inline("blocks")), "suffix-blocks")
-    core = ["name", "k", "core"]
-    cores = inside.df().groupBy(*core).agg(F.sum("copies").alias("all_copies"), F.min("context").alias("low"), F.max("context").alias("high"))
-    cores = Stored(cores.where("all_copies = 1 or low <> high"), "suffix-cores")
-    open_ = Stored(inside.df().join(cores.df().select(*core, "all_copies"), core), "suffix-open")
+    merged = settled(inside.select(*one, F.inline("blocks")), ["name", "k", "core"], "suffix-blocks")
     release(spark)
-    alone = open_.df().where("all_copies = 1").select(*one, "first", "last")
-    unsettled = wanted(open_.df().where("all_copies > 1"), *core, "context", copies=F.sum("copies"))
-    starts = texts.df().select(*one, "text").join(unsettled, one).select(*one, _each(starts_named, _STARTS)("text", "wanted").alias("starts"))
-    merged = starts.select(*one, F.inline("starts")).groupBy("name", "start").agg(F.sum("copies").alias("copies"), F.min("row").alias("row"), F.min("digest").alias("digest"), F.min("at").alias("first"))
-    lonely = alone.union(merged.where("copies = 1").select(*one, "first", F.col("first").alias("last")))
-    lonely = Stored(lonely.groupBy(*one).agg(F.collect_list(F.struct("first", "last")).alias("lonely")), "suffix-lonely")
+    starts = texts.df().select(*one, "text").join(wanted(merged.df()), one).select(*one, _each(starts_named, _STARTS)("text", "wanted").alias("starts"))
+    starts = starts.select(*one, F.inline("starts")).withColumn("context", F.lit(0).cast("bigint"))
+    single = settled(starts.withColumn("first", F.col("at")).withColumn("last", F.col("at")), ["name", "start"], "suffix-starts")
+    lonely = merged.df().where(F.col("status") == ALONE).select(*one, "first", "last").union(single.df().where(F.col("status") == ALONE).select(*one, "first", "last"))
+    lonely = lonely.groupBy(*one).agg(F.collect_list(F.struct("first", "last")).alias("lonely"))
     repeated = shared.df().groupBy(*one).agg(F.collect_list(F.struct("first", "last")).alias("repeated"))
-    marks = Stored(repeated.join(lonely.df(), one, "left"), "suffix-marks")
-    for x in (shared, texts, inside, cores, open_, lonely):
+    marks = Stored(repeated.join(lonely, one, "left"), "suffix-marks")
+    for x in (shared, texts, merged, single):
         x.drop()
     release(spark)
     done = docs.join(marks.df(), one, "left").select("id", F.octet_length("text").cast("bigint").alias("n_bytes"), _kept(with_bytes)("text", "repeated", "lonely").alias("x"))

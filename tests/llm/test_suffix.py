@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loomspark.llm import suffix_dedup as D
@@ -12,6 +13,10 @@ from loomspark.llm import suffix_dedup as D
 W = D.WIDTH
 
 
+def all_runs(data):
+    return tuple(np.concatenate(c) for c in zip(*D.runs(data)))
+
+
 def brute(texts):
     data = [(t or "").encode() for t in texts]
     count = Counter(d[i : i + W] for d in data for i in range(len(d) - W + 1))
@@ -64,9 +69,9 @@ def test_like_brute_force(spark, docs_of, seed):
 @pytest.mark.parametrize("chunk", [1, 37, 500])
 def test_chunks_change_nothing(monkeypatch, chunk):
     data = words(random.Random(9), 700).encode()
-    whole = D.runs(data)
+    whole = all_runs(data)
     monkeypatch.setattr(D, "CHUNK", chunk)
-    parts = D.runs(data)
+    parts = all_runs(data)
     place = lambda x: [(n, s) for n, a, b in zip(x[0], x[2], x[3]) for s in range(a, b + 1)]
     assert place(whole) == place(parts) and [s for _, s in place(whole)] == list(range(len(data) - W + 1))
 
@@ -77,12 +82,53 @@ def test_equal_strings_share_a_sampled_suffix():
     s = words(r, 200).encode()[:W]
     names = []
     for before, after in ((a, b), (b, a), (b"", a), (a, b"")):
-        name, _, first, last = D.runs(before + s + after)
+        name, _, first, last = all_runs(before + s + after)
         (k,) = np.flatnonzero((first <= len(before)) & (last >= len(before)))
         names.append(name[k])
     assert len(set(names)) == 1
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_neighbours_across_partitions(seed):
+    """Groups cut by the ends of partitions and batches, a hot one among them, settle as they do in one piece."""
+    r = np.random.default_rng(seed)
+    n = 60_000
+    name = np.sort(np.where(r.random(n) < 0.3, 7, r.integers(0, 30_000, n)))
+    context, copies = r.integers(0, 2, n), r.integers(1, 3, n)
+    order = np.lexsort((context, name))
+    name, context, copies = name[order], context[order], copies[order]
+    columns = {c: np.arange(n) for c in ("row", "digest", "first", "last")} | {"name": name, "context": context, "copies": copies}
+    cuts = np.sort(r.integers(0, n, 5))
+    out = []
+    for a, b in zip([0, *cuts], [*cuts, n]):
+        batches = [pa.RecordBatch.from_arrays([pa.array(v[x : min(x + 9000, b)]) for v in columns.values()], list(columns)) for x in range(a, b, 9000)]
+        out += [row for batch in D._neighbours(["name"], False)(iter(batches)) for row in batch.to_pylist()]
+    edges = {}
+    for e in out:
+        if e["status"] == D.EDGE:
+            total, low, high = edges.get(e["name"], (0, 9, -1))
+            edges[e["name"]] = total + e["copies"], min(low, e["context"]), max(high, e["high"])
+    assert len([e for e in out if e["status"] == D.EDGE]) <= 12
+    rows = [e for e in out if e["status"] != D.EDGE]
+    assert [e["row"] for e in rows] == list(range(n))
+    heads = {}
+    for e in rows:
+        total, low, high = edges[e["name"]] if e["status"] == D.OPEN else (None, None, None)
+        found = e["status"] if total is None else D.ALONE if total == 1 else D.ALIKE if low == high else D.UNLIKE
+        own = name == e["name"] if e["row"] % 997 == 0 else None
+        if own is not None:
+            want = D.ALONE if copies[own].sum() == 1 else D.ALIKE if len(set(context[own])) == 1 else D.UNLIKE
+            assert found == want
+        if e["head"]:
+            heads[e["name"], e["context"]] = heads.get((e["name"], e["context"]), 0) + e["copies"]
+    assert sum(heads.values()) == copies.sum()
+
+
+def test_texts_of_one_byte(spark, docs_of):
+    rows = {r.doc_id: r for r in D.remove_repeats(docs_of(["x" * 200_000, "y" * 399 + "z", "ab" * 3000]), with_bytes=False).collect()}
+    assert [rows[i].n_removed for i in range(3)] == [200_000, 0, 6000] and rows[0].n_spans == 1
+
+
 def test_odd_tables(spark, docs_of):
     assert D.remove_repeats(docs_of([])).collect() == []
     long_ = words(random.Random(2), 200)
