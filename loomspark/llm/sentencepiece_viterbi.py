@@ -12,9 +12,9 @@ within a few piece lengths whatever the length of the text.
   pointers. Results equal the library's.
 
 White space is written as the mark U+2581, one is put before a text that is not empty, and a character
-without a piece becomes its UTF-8 bytes where the model has byte pieces, else the unknown id. Runs that
-no piece can cross (before a mark that follows another character) are converged paths by
-themselves; their ids are kept in a bounded cache.
+without a piece becomes its UTF-8 bytes where the model has byte pieces, else the unknown id. Where no
+piece can cross (before a mark that follows another character) all paths converge; what the search
+commits between two such places is kept in a bounded cache, if it is short.
 
 Null or empty texts give an empty list of ids and decode to the empty string; decoding turns a literal
 U+2581 into a space, as the library does. Repeated rows are encoded one by one, and an empty table gives
@@ -28,6 +28,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -171,54 +172,49 @@ class Vocabulary:
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode("utf-8", "replace")] if self.bytes else [self.unknown]
 
-    def _step(self, char: str, live: list[tuple[int, dict]], begin: list[int], last: list[int], score: list[float]) -> list[tuple[int, dict]]:
-        """Adds the boundary after char; returns the starts that some piece can carry on past it.
+    def search(self, text: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of the marked text, in lists, each as soon as all live paths agree on it.
 
-        Of each boundary: where the best piece that ends there begins, its id (or minus two less the character of
-        a fallback), and for unigram models the path's score.
+        Of each boundary in the window: where the best piece that ends there begins, its id (or minus two less the
+        character of a fallback), and for unigram models the path's score. live: the starts, and the places in the tree, that
+        some piece can carry on from.
         """
-        end, start, best, gain = len(begin), -1, -1, 0.0
-        alive = []
-        for entry in live:
-            at, node = entry
-            node = node.get(char)
-            if node is None:
-                continue
-            piece = node.get(None)
-            if piece is None:
-                alive.append((at, node))
-                continue
-            if self.bpe:
-                if start < 0:
-                    before = last[at]
-                    if before < 0:
-                        start, best = at, piece
-                    else:
-                        fits = self.pairs.get(before * self.scale + piece)
-                        if fits or (fits is None and self.side_by_side(before, piece)):
-                            start, best = at, piece
-            elif start < 0 or score[at] + self.scores[piece] > gain:
-                start, best, gain = at, piece, score[at] + self.scores[piece]
-            if len(node) > 1:
-                alive.append((at, node))
-        if start < 0 or (not self.bpe and char not in self.ids and score[end - 1] + self.low > gain):
-            start, best, gain = end - 1, -2 - ord(char), score[end - 1] + self.low
-        begin.append(start)
-        last.append(best)
-        score.append(gain)
-        return alive
-
-    def search(self, text: Iterable[str]) -> Iterator[list[int]]:
-        """Ids of the marked text, in lists, each as soon as all live paths agree on it."""
-        top, window = self.tree, 4 * self.longest
+        top, window, scores, scale, pairs, bpe = self.tree, 4 * self.longest, self.scores, self.scale, self.pairs, self.bpe
         score, begin, last = [0.0], [-1], [-1]
         live: list[tuple[int, dict]] = []
         for char in text:
-            live.append((len(begin) - 1, top))
-            live = self._step(char, live, begin, last, score)
-            end = len(begin) - 1
-            if not live or end >= window:
-                at = self._meet(begin, [*(x[0] for x in live), end]) if live else end
+            end, start, best, gain = len(begin), -1, -1, 0.0
+            live.append((end - 1, top))
+            alive = []
+            for at, node in live:
+                node = node.get(char)
+                if node is None:
+                    continue
+                piece = node.get(None)
+                if piece is None:
+                    alive.append((at, node))
+                    continue
+                if not bpe:
+                    if start < 0 or score[at] + scores[piece] > gain:
+                        start, best, gain = at, piece, score[at] + scores[piece]
+                elif start < 0:
+                    before = last[at]
+                    fits = before < 0 or pairs.get(before * scale + piece)
+                    if fits or (fits is None and self.side_by_side(before, piece)):
+                        start, best = at, piece
+                if len(node) > 1:
+                    alive.append((at, node))
+            if start < 0 or (not bpe and char not in self.ids and score[-1] + self.low > gain):
+                start, best, gain = end - 1, -2 - ord(char), score[-1] + self.low
+            begin.append(start)
+            last.append(best)
+            score.append(gain)
+            live = alive
+            if not live:  # no piece goes on, so all paths meet here
+                yield self._path(begin, last, end)
+                score, begin, last = [0.0], [-1], [best]
+            elif end >= window:
+                at = self._meet(begin, [*(x[0] for x in live), end])
                 if at:
                     yield self._path(begin, last, at)
                     live = [(i - at, node) for i, node in live]
@@ -228,22 +224,6 @@ class Vocabulary:
         if len(begin) > 1:
             yield self._path(begin, last, len(begin) - 1)
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Puts the ids of short words into the cache. In sorted order the trellis of a shared beginning stays."""
-        score, begin, last, lives = [0.0], [-1], [-1], [[]]
-        before = ""
-        for word in sorted(words):
-            same = 0
-            for a, b in zip(before, word):
-                if a != b:
-                    break
-                same += 1
-            del score[same + 1 :], begin[same + 1 :], last[same + 1 :], lives[same + 1 :]
-            for at in range(same, len(word)):
-                lives.append(self._step(word[at], [*lives[at], (at, self.tree)], begin, last, score))
-            self.words[word] = array("i", self._path(begin, last, len(word))).tobytes()
-            before = word
-
     @staticmethod
     def _meet(begin: list[int], live: list[int]) -> int:
         """The last boundary that the paths to all live boundaries share."""
@@ -279,13 +259,12 @@ class Vocabulary:
         if len(self.words) + len(new) > WORDS:
             self.words.clear()
             new = {w for words in split for w in words}
-        long = {w for w in new if len(w) > LONGEST_WORD}
-        self.learn(new - long)
-        for w in long:
-            self.words[w] = b"".join(array("i", ids).tobytes() for ids in self.search(w))
+        for w in new:
+            self.words[w] = array("i", chain.from_iterable(self.search(w))).tobytes()
         out = [b"".join(map(self.words.__getitem__, words)) for words in split]
-        for w in long:
-            del self.words[w]
+        for w in new:
+            if len(w) > LONGEST_WORD:
+                del self.words[w]
         return out
 
     def encode(self, text: str) -> bytes:
