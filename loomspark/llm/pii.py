@@ -7,8 +7,9 @@ format (with cycle walking), so a card stays a valid card of the same length, a
 same way, an address an address. Equal values, whatever their separators or case, get equal pseudonyms
 in all documents, different values different ones; who has the key can invert them.
 
-Kinds: email, phone, card, ip, iban, ssn, date, secret (access keys and quoted tokens). Candidates that
-fail validation are left alone, and so is every text without any value. A null text stays null, an empty one
+Kinds: email, phone, card, ip, iban, ssn, date, secret (access keys, quoted tokens, and words of letters and digits
+that follow a name such as password and "=" without a space). Candidates that fail validation are left alone, but
+what lies inside them is searched again; every text without any value is left alone. A null text stays null, an empty one
 empty; long texts are read whole; repeated rows change alike; an empty table gives an empty table. Input
 columns with the name of an output column are replaced.
 """
@@ -37,9 +38,10 @@ _FIND = re.compile(
     (?<![A-Za-z0-9._%+-])(?P<email>[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})
   | \b(?P<secret>AKIA[0-9A-Z]{16})\b
   | \b(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)\s*[:=]\s*["'](?P<quoted>[A-Za-z0-9+/_=-]{8,})["']
+  | \b(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)=(?P<bare>(?=[^\W\d]*\d)(?=\d*[A-Za-z])[A-Za-z0-9]{8,64})(?![\w+/=-])
   | \b(?P<iban>[A-Z]{2}\d\d(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)\b
   | (?<![\w.-])(?P<ssn>\d{3}-\d\d-\d{4})(?![\w-])
-  | (?<![\w.-])(?P<date>\d{4}-\d\d-\d\d|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?![\w-])|(?=T\d\d:\d\d))
+  | (?<![\w.-])(?P<date>\d{4}-\d\d-\d\d|(?<!/)\d{4}/\d\d/\d\d(?!/)|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?:(?![\w-])|(?=T\d\d:\d\d))
   | (?<!\d)(?<!\d\.)(?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?!\d|\.\d)
   | (?<!\d)(?<!\d[.-])(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d) | \+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d))
   | (?<!\d)(?<!\d\.)(?P<card>\d{13,19} | \d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7} | \d{4}[ -]\d{6}[ -]\d{5})(?!\d)
@@ -103,8 +105,11 @@ class Pseudonyms:
 
     def secret(self, text: str, inverse: bool = False) -> str:
         if re.fullmatch("[0-9a-f]+", text):
-            n = self.permute(int(text, 16), 16 ** len(text), b"hex%d" % len(text), inverse)
-            return f"{n:0{len(text)}x}"
+            new = text
+            while True:  # letters and digits both, or not, as before: so it is found again
+                new = f"{self.permute(int(new, 16), 16 ** len(text), b'hex%d' % len(text), inverse):0{len(text)}x}"
+                if _both(new) == _both(text):
+                    return new
         fixed = 4 if text.startswith("AKIA") else 0
         return text[:fixed] + self.characters(text[fixed:], b"secret", inverse)
 
@@ -159,7 +164,7 @@ class Pseudonyms:
     def date(self, text: str, inverse: bool = False) -> str | None:
         """The calendar day within 1900 to 2099; day first unless only month first is a day."""
         a, mark, b, _, c = re.split(r"([-/.])", text)
-        orders = ["ymd"] if mark == "-" else ["dmy", "mdy"]
+        orders = ["ymd"] if len(a) == 4 else ["dmy", "mdy"]
         first, last = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
         for order in orders:
             part = dict(zip(order, map(int, (a, b, c))))
@@ -185,27 +190,32 @@ class Pseudonyms:
         if not _MAYBE.search(text):
             return text, counts
 
-        def replaced(m: re.Match) -> str:
+        out, done, at = [], 0, 0
+        while m := _FIND.search(text, at):
             kind = m.lastgroup
-            value = m[kind]
-            new = getattr(self, "secret" if kind == "quoted" else kind)(value, inverse)
+            value, kind = m[kind], "secret" if kind in ("quoted", "bare") else kind
+            new = getattr(self, kind)(value, inverse)
             while new is None and kind == "iban" and " " in value:  # a word after it may look like a part of it
                 value = value.rpartition(" ")[0]
                 new = self.iban(value, inverse)
             if new is None:
-                return m[0]
-            kind = "secret" if kind == "quoted" else kind
+                at = m.start() + 1  # another kind may begin inside
+                continue
             counts[kind] = counts.get(kind, 0) + 1
-            at = m.start(m.lastgroup) - m.start()
-            return m[0][:at] + new + m[0][at + len(value) :]
-
-        return _FIND.sub(replaced, text), counts
+            begin = m.start(m.lastgroup)
+            out += (text[done:begin], new)
+            done = at = begin + len(value)
+        return "".join(out) + text[done:], counts
 
 
 #: Known to this driver only.
 _RANDOM_KEY = secrets.token_hex(32)
 
 
+def _both(text: str) -> bool:
+    return not text.isdigit() and any(c.isdigit() for c in text)
+
+
 def _luhn(body: str) -> str:
     """The check digit of body."""
     total = sum((2 * int(d) - 9 * (d > "4")) if i % 2 == 0 else int(d) for i, d in enumerate(reversed(body)))
