@@ -41,7 +41,7 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 #: Kinds of piece in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-PAIRS, WORDS, LONGEST_WORD = 1 << 18, 1 << 18, 48
+PAIRS, WORDS, LONGEST_WORD = 1 << 18, 1 << 19, 48
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -73,6 +73,39 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             at += n
 
 
+class Window:
+    """The boundaries since the last commit. Of each: where the best piece that ends there begins, its id (or minus two
+    less the character of a fallback), for unigram models the path's score, and the starts, with their places in the
+    tree, from which some piece can carry on."""
+
+    def __init__(self) -> None:
+        self.begin, self.last, self.score, self.lives = [-1], [-1], [0.0], [[]]
+        self.text: str | None = ""  # what was searched; None once ids of it were committed
+
+    def commit(self, at: int) -> None:
+        """Forgets what lies before the boundary at. The lists stay the same objects."""
+        self.text = None
+        self.lives[:] = [[(i - at, node) for i, node in self.lives[-1]]]
+        self.score[:] = [x - self.score[at] for x in self.score[at:]]
+        self.begin[:] = [-1, *(i - at for i in self.begin[at + 1 :])]
+        del self.last[:at]
+
+    def rewind(self, text: str) -> int:
+        """Back to the last boundary that text shares with what was searched; how many characters that are."""
+        same = 0
+        if self.text is None:
+            self.__init__()
+        else:
+            for a, b in zip(self.text, text):
+                if a != b:
+                    break
+                same += 1
+            for own in (self.begin, self.last, self.score, self.lives):
+                del own[same + 1 :]
+        self.text = text
+        return same
+
+
 class Vocabulary:
     """Pieces with scores and kinds; keeps the search's caches, one instance for each worker."""
 
@@ -172,21 +205,21 @@ class Vocabulary:
     def fallback(self, char: str) -> list[int]:
         return [self.bytes[b] for b in char.encode("utf-8", "replace")] if self.bytes else [self.unknown]
 
-    def search(self, text: Iterable[str]) -> Iterator[list[int]]:
+    def search(self, text: Iterable[str], kept: Window | None = None) -> Iterator[list[int]]:
         """Ids of the marked text, in lists, each as soon as all live paths agree on it.
 
-        Of each boundary in the window: where the best piece that ends there begins, its id (or minus two less the
-        character of a fallback), and for unigram models the path's score. live: the starts, and the places in the tree, that
-        some piece can carry on from.
+        kept: the window of the run searched before. What this run (then a str) begins with alike isn't searched again;
+        its ids are then committed where the run ends, or where the window is full.
         """
-        top, window, scores, scale, pairs, bpe = self.tree, 4 * self.longest, self.scores, self.scale, self.pairs, self.bpe
-        score, begin, last = [0.0], [-1], [-1]
-        live: list[tuple[int, dict]] = []
+        w = kept or Window()
+        if kept:
+            text = text[w.rewind(text) :]
+        score, begin, last, lives = w.score, w.begin, w.last, w.lives
+        top, most, scores, scale, pairs, bpe = self.tree, 4 * self.longest, self.scores, self.scale, self.pairs, self.bpe
         for char in text:
             end, start, best, gain = len(begin), -1, -1, 0.0
-            live.append((end - 1, top))
             alive = []
-            for at, node in live:
+            for at, node in (*lives[-1], (end - 1, top)):
                 node = node.get(char)
                 if node is None:
                     continue
@@ -209,18 +242,12 @@ class Vocabulary:
             begin.append(start)
             last.append(best)
             score.append(gain)
-            live = alive
-            if not live:  # no piece goes on, so all paths meet here
-                yield self._path(begin, last, end)
-                score, begin, last = [0.0], [-1], [best]
-            elif end >= window:
-                at = self._meet(begin, [*(x[0] for x in live), end])
+            lives.append(alive)
+            if end >= most or not (alive or kept):
+                at = self._meet(begin, [*(x[0] for x in alive), end])
                 if at:
                     yield self._path(begin, last, at)
-                    live = [(i - at, node) for i, node in live]
-                    score = [x - score[at] for x in score[at:]]
-                    begin = [-1, *(i - at for i in begin[at + 1 :])]
-                    last = last[at:]
+                    w.commit(at)
         if len(begin) > 1:
             yield self._path(begin, last, len(begin) - 1)
 
@@ -259,8 +286,9 @@ class Vocabulary:
         if len(self.words) + len(new) > WORDS:
             self.words.clear()
             new = {w for words in split for w in words}
-        for w in new:
-            self.words[w] = array("i", chain.from_iterable(self.search(w))).tobytes()
+        window = Window()
+        for w in sorted(new):
+            self.words[w] = array("i", chain.from_iterable(self.search(w, window))).tobytes()
         out = [b"".join(map(self.words.__getitem__, words)) for words in split]
         for w in new:
             if len(w) > LONGEST_WORD:
