@@ -41,6 +41,43 @@ def test_two_steps(spark, table):
     assert set(model.machines) == {("germanic", "romance"), ("de", "en"), ("de", "nl"), ("en", "nl"), ("es", "fr")}
 
 
+def by_hand(model, text):
+    """Votes counted one trigram at a time."""
+    import math
+    from collections import Counter
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    data = [b if b > 127 or chr(b) in letters else 32 for b in f" {text} ".lower().encode()]
+    found = Counter(((a * 2654435761 + b * 2246822519 + c * 3266489917) % 2**32) // 2**19 for a, b, c in zip(data, data[1:], data[2:]))
+    total = sum(found.values())
+
+    def duel(a, b):
+        w = model.machines.get((a, b))
+        if w is None:
+            return -duel(b, a)
+        return sum(math.sqrt(n / total) * w[i] for i, n in found.items()) + w[-1]
+
+    def winner(names):
+        margins = {a: [duel(a, b) for b in names if b != a] for a in names}
+        best = max(names, key=lambda a: (sum(m > 0 for m in margins[a]), sum(margins[a])))
+        return best, min((1 / (1 + math.exp(-3 * m)) for m in margins[best]), default=1.0)
+
+    kin, sure = winner(sorted(model.families))
+    lang, inside = winner(model.families[kin])
+    return lang, sure * inside
+
+
+def test_like_votes_by_hand(spark, table, folder_of):
+    model = L.fit(table.where(~L.held_out()))
+    texts = {r.doc_id: r.text for r in table.limit(150).collect()}
+    got = {r.doc_id: r for r in L.op5_language_id(spark, folder_of(documents=table)).collect()}
+    for i, t in texts.items():
+        lang, score = by_hand(model, t)
+        assert got[i].lang_pred == lang and abs(got[i].score - score) < 1e-6, t
+
+
 def test_odd_texts(spark, table, docs_of):
     from pyspark.sql import functions as F
 

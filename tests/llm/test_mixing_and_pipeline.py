@@ -1,5 +1,7 @@
 import random
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +63,43 @@ def test_words_alike_in_their_first_letters_and_words_of_another_language(spark)
     assert all((x.p > 0.5) == (x.doc_id % 6 < 2) for x in got)
 
 
+def posterior_by_hand(model, text, lang):
+    """The probabilities of one text, word by word."""
+    words = re.split(r"[^a-z0-9\x80-\U0010ffff]+", text.lower())
+    known = {w for by_lang in model.lexicons.values() for own in by_lang.values() for w in own}
+    kinds = []
+    for by_lang in model.lexicons.values():
+        own = by_lang.get(lang, []) if any(lang in x for x in model.lexicons.values()) else {w for ws in by_lang.values() for w in ws}
+        kinds.append(sum(w in own for w in words))
+    kinds += [len(re.findall(r"[#$%&*|!<>{}=]", text)), len(re.findall("[A-Z]{3}", text)), len(re.findall("[0-9]+", text))]
+    kinds.append(sum(w not in known for w in words))
+    logs = np.array([p + np.dot(ws, kinds) for p, ws in zip(model.log_prior, model.log_share)])
+    e = np.exp(logs - logs.max())
+    return e / e.sum()
+
+
+def test_like_dense_projected_gradient(spark, labelled):
+    """Posteriors word by word, then rates of all documents as one numpy vector."""
+    docs, labels = labelled
+    docs, domains, weights, tokens = docs.withColumn("lang", F.lit("en")), X.quality_domains(labels), {"high": 0.6, "low": 0.4, "toxic": 0.0}, 40_000
+    model = X.Classifier.fit(docs, domains)
+    rows = docs.orderBy("doc_id").collect()
+    p = np.array([posterior_by_hand(model, r.text, "en") for r in rows])
+    n = np.array([float(len(r.text.split())) for r in rows])
+    target = np.array([tokens * weights[d] for d in model.domains])
+    rate = np.ones(len(rows))
+    for _ in range(24):
+        left = target - (n * rate) @ p
+        if abs(left).sum() <= 1e-4 * target.sum():
+            break
+        rate = np.maximum(0, rate + p @ np.linalg.solve(p.T @ (n[:, None] * p), left))
+    got = {r.doc_id: r for r in X.mix(docs, domains, weights, tokens=tokens).collect()}
+    for r, own, x, k in zip(rows, p, rate, n):
+        g = got[r.doc_id]
+        assert g.n_tokens == k and np.allclose([g[f"p_{d}"] for d in model.domains], own, atol=1e-6)
+        assert abs(g.rate - x) < 1e-3 * max(1.0, x)
+
+
 def test_only_sql(spark, labelled):
     docs, labels = labelled
     plan = X.mix(docs, X.quality_domains(labels), None)._jdf.queryExecution().toString()

@@ -101,6 +101,16 @@ def test_window_is_bounded():
     assert at_first and seen <= 4 * model.longest + 2
 
 
+def test_sorted_runs_share_a_window():
+    r = random.Random(8)
+    words = sorted({"".join(r.choice("abcdeinorst") for _ in range(r.randrange(1, 12))) * r.choice((1, 1, 1, 30)) for _ in range(3000)})
+    for model in (MODEL, unigram([("a", -1.0), ("b", -2.0), ("ab", -2.5), ("ba", -2.6), ("aba", -3.0)])):
+        window = S.Window()
+        for w in words:
+            assert [i for ids in model.search(w, window) for i in ids] == [i for ids in model.search(w) for i in ids], w
+            assert len(window.begin) <= 4 * model.longest + model.longest + 2
+
+
 def test_encode_decode_columns(spark, docs_of):
     df = docs_of(ODD + ["a b", "a b"]).withColumn("IDS", F.lit(1))
     coded = S.decode(S.encode(df, PIECE), PIECE)
