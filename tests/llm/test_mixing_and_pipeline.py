@@ -3,13 +3,16 @@ import re
 
 import numpy as np
 import pytest
+import sentencepiece
+import test_near as near
 from pyspark.sql import functions as F
+from test_pii import luhn_ok, second_feistel
 
 import __spark_entry__ as entry
 import corpus_pipeline as C
 from loomspark.llm import mixing as X
 from loomspark.llm import pii
-from loomspark.llm.common import table
+from loomspark.llm.common import table, tokenizer_path
 
 DATA = "/root/testdata/sf0.001"
 
@@ -145,6 +148,62 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted(map(str, again.collect())) == sorted(map(str, out[5].collect()))
 
 
+def test_pipeline_like_brute_force(spark, docs_of, folder_of, tmp_path):
+    """Each stage against a plain version: letters, all pairs, a second permutation of cards, dense rates, the library's ids."""
+    r = random.Random(12)
+    good, bad = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)], ["vile", "nasty", "rotten"]
+    rows, labels = [], []
+    for i in range(240):
+        words = [r.choice(bad) if i % 6 == 0 and r.random() < 0.3 else r.choice(good) for _ in range(r.randrange(8, 60))]
+        rows.append((i, " ".join(words) + (" ### &&& !!!" * 3 if i % 6 == 1 else "")))
+        labels.append((i, int(i % 6 != 1), int(i % 6 == 0)))
+    for i in range(240, 300):  # exact and near copies
+        text = r.choice(rows[:240])[1].split()
+        if i % 2:
+            text[r.randrange(len(text))] = "changed"
+        rows.append((i, " ".join(text)))
+    rows = [(i, t + (" 4111111111111111" if i % 9 == 0 else "")) for i, t in rows] + [(900, "12 34 !?"), (901, None), (902, "")]
+    docs = docs_of(rows).withColumn("lang", F.lit("en"))
+    label_table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    out = run_stages(spark, docs, folder_of(labels=label_table), tmp_path)
+    texts = [{x.doc_id: x.text for x in df.collect()} for df in out[:-1]]
+
+    want = {i: t for i, t in rows if any(c.isalpha() for c in t or "")}
+    assert texts[1] == want
+
+    ids = sorted(want)
+    sets = [near.shingles(want[i]) for i in ids]
+    links = [(a, b) for a in range(len(ids)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    want = {ids[i]: want[ids[i]] for i, root in enumerate(near.joined(len(ids), links)) if i == root}
+    assert texts[2] == want and len(want) < len(ids)
+
+    body = "".join(map(str, [second_feistel(int("1" * 14), 10**14, b"card4|" + b",".join([b"10"] * 14), pii.default_key())])).zfill(14)
+    card = next("4" + body + d for d in "0123456789" if luhn_ok("4" + body + d))
+    want = {i: t.replace("4111111111111111", card) for i, t in want.items()}
+    assert texts[3] == want and any(card in t for t in want.values())
+
+    model = X.Classifier.fit(out[3], X.quality_domains(label_table))
+    ids = sorted(want)
+    p = np.array([posterior_by_hand(model, want[i], "en") for i in ids])
+    n = np.array([float(len(want[i].split())) for i in ids])
+    have = n @ p
+    target = np.where([d == "toxic" for d in model.domains], 0.0, have)
+    rate = np.ones(len(ids))
+    for _ in range(24):
+        left = target - (n * rate) @ p
+        if abs(left).sum() <= 1e-4 * target.sum():
+            break
+        rate = np.maximum(0, rate + p @ np.linalg.solve(p.T @ (n[:, None] * p), left))
+    assert not ((rate > 0.499) & (rate < 0.501)).any()
+    want = {i: want[i] for i, x in zip(ids, rate) if x >= 0.5}
+    assert texts[4] == want and 0 < len(want) < len(ids)
+    toxic = [i for i in ids if i < 240 and i % 6 == 0]
+    assert sum(i in want for i in toxic) <= 0.1 * len(toxic) and sum(i in want for i in ids if i < 240 and i % 6) >= 0.97 * sum(i < 240 and i % 6 > 0 for i in ids)
+
+    library = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    assert {x.doc_id: x.ids for x in out[5].collect()} == {i: library.encode(t) for i, t in want.items()}
+
+
 def test_pipeline_on_odd_documents(spark, docs_of, folder_of, tmp_path):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
     path = folder_of(labels=labels)
