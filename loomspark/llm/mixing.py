@@ -1,11 +1,12 @@
 """Mixing to target weights by soft membership: DataFrame and SQL functions only.
 
-1. A classifier is fitted on a labelled table: whole words that a domain's documents hold far more often than
-   the others' in the same language form that domain's lexicon in that language, by document frequency. Words count
-   in documents of their language; without a known language (or without the column) those of all languages do. Marks, capitals and digits are counted
-   as kinds of their own. A multinomial model over these few kinds gives each document's posterior
-   probability of each domain. The fit reads at most about ``sample`` labelled rows (chosen by a hash of their id);
-   the lexicons hold at most ``lexicon`` words a domain and language, so all that is carried into the plan is bounded.
+1. A classifier is fitted on a labelled table: whole words, and beginnings of words, that a domain's documents surely hold
+   far more often than the others' in the same language form that domain's lexicons in that language, by document
+   frequency. A word counts by itself if it is in a lexicon, else by its beginning, in documents of its language; without a
+   known language (or without the column) the lexicons of all languages count. Of marks, capitals and digits only the density counts,
+   in few steps. A naive Bayes model, multinomial over the kinds of words and categorical over the steps, gives each
+   document's posterior probability of each domain. The fit reads at most about ``sample`` labelled rows (chosen by a hash of their id);
+   the lexicons hold at most ``lexicon`` words and as many beginnings a domain and language, so all that is carried into the plan is bounded.
 2. Each document has a rate, how often it shall be used, at first 1. Projected gradient descent fits
    nonnegative rates so that the expected tokens of each domain (rate x tokens x posterior) match the targets:
    least squares, in the metric that the domains' own spread gives, documents weighted by length. An
@@ -20,9 +21,10 @@ all rates are 1. An empty table gives an empty table. Input columns with the nam
 
 from __future__ import annotations
 
+import functools
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspark.llm.common import Stored, table, text_or_empty, without
@@ -31,7 +33,10 @@ from loomspark.llm.common import Stored, table, text_or_empty, without
 _BREAK = r"[\x00-/:-@\[-`{-\x7f]+"
 #: A domain's lexicon in tiers, by how many times as often its documents hold a word as the others do.
 TIERS = (4.0, 16.0, 64.0)
-#: Kinds counted by pattern, besides the lexicons.
+#: Letters of a beginning, which is written with a star, and how sure (in standard errors) an entry's odds must be.
+BEGINNING, SURE = 5, 1.64
+#: Patterns that count by their matches a word, and the steps of that after 0; a last step is open.
+STEPS = (0.01, 0.1)
 _PATTERNS = {"marks": r"[#$%&*|!<>{}=]", "capitals": r"[A-Z]{3}", "digits": r"[0-9]+"}
 
 
@@ -47,24 +52,55 @@ def _lang(df: DataFrame) -> Column:
     return F.col("lang").cast("string") if "lang" in df.columns else F.lit(None).cast("string")
 
 
+def _start(word: Column) -> Column:
+    return F.substring(word, 1, BEGINNING)
+
+
+def _forms(words: Column) -> Column:
+    """Words and their beginnings, each once."""
+    return F.array_distinct(F.concat(words, F.transform(F.filter(words, lambda w: F.length(w) >= BEGINNING), lambda w: F.concat(_start(w), F.lit("*")))))
+
+
+def _entries(hits: Column, entries: set[str]) -> Column:
+    """What counts of hits: the word, if it is an entry, else its beginning."""
+    words, starts = sorted(e for e in entries if not e.endswith("*")), sorted(e[:-1] for e in entries if e.endswith("*"))
+    entry = lambda w: F.when(w.isin(words), w).when(_start(w).isin(starts), F.concat(_start(w), F.lit("*")))
+    return F.filter(F.transform(hits, entry), lambda e: e.isNotNull())
+
+
 def _kinds(df: DataFrame, text: Column, lexicons: dict[str, dict[str, list[str]]]) -> DataFrame:
-    """df with kinds__: counts of lexicon words by domain and tier, of patterns, and of the other words."""
-    known = sorted({w for by_lang in lexicons.values() for words in by_lang.values() for w in words})
-    langs = sorted({lang for by_lang in lexicons.values() for lang in by_lang})
-    df = df.withColumn("words__", _words(text))
-    hits = F.filter("words__", lambda w: w.isin(known)) if known else F.array().cast("array<string>")
-    df = df.withColumn("total__", F.size("words__")).withColumn("hits__", hits).drop("words__")
-    among = lambda own: lambda w: w.isin(own)  # noqa: E731  a second parameter would be the index
-    count = lambda own: F.size(F.filter("hits__", among(own))) if own else F.lit(0)
-    by_lexicon = []
+    """df with kinds__: counts of lexicon entries by kind, of the other words, and a 1 at each pattern's step."""
+    of: dict[str, set[str]] = {}
     for by_lang in lexicons.values():
-        found = F.when(F.lit(False), F.lit(0))
-        for lang in langs:
-            found = found.when(_lang(df) == lang, count(by_lang.get(lang, [])))
-        by_lexicon.append(found.otherwise(count(sorted({w for words in by_lang.values() for w in words}))))
-    by_pattern = [F.regexp_count(text, F.lit(p)) for p in _PATTERNS.values()]
+        for lang, own in by_lang.items():
+            of.setdefault(lang, set()).update(own)
+    known = set().union(*of.values())
+    words, starts = sorted(e for e in known if not e.endswith("*")), sorted(e[:-1] for e in known if e.endswith("*"))
+    df = df.withColumn("words__", _words(text)).withColumn("total__", F.size("words__"))
+    df = df.withColumn("hits__", F.filter("words__", lambda w: w.isin(words) | _start(w).isin(starts)) if known else F.array().cast("array<string>"))
+    per = F.greatest(F.col("total__"), F.lit(1))
+    for name, p in _PATTERNS.items():
+        df = df.withColumn(f"{name}__", F.regexp_count(text, F.lit(p)) / per)
+    df = df.drop("words__")
+
+    def by_language(made) -> Column:
+        found = F.when(F.lit(False), made(None))
+        for lang in sorted(of):
+            found = found.when(_lang(df) == lang, made(lang))
+        return found.otherwise(made(None))
+
+    df = df.withColumn("hits__", by_language(lambda lang: _entries(F.col("hits__"), known if lang is None else of[lang])))
+    among = lambda own: F.size(F.filter("hits__", lambda e: e.isin(own))) if own else F.lit(0)
+    counts = [by_language(lambda lang, b=b: among(sorted(set().union(*b.values()) if lang is None else b.get(lang, [])))) for b in lexicons.values()]
+    steps = []
+    for name in _PATTERNS:
+        step = F.when(F.col(f"{name}__") == 0, 0)
+        for i, most in enumerate(STEPS):
+            step = step.when(F.col(f"{name}__") <= most, i + 1)
+        steps += [step.otherwise(len(STEPS) + 1) == i for i in range(len(STEPS) + 2)]
     other = F.col("total__") - F.size("hits__")
-    return df.withColumn("kinds__", F.array(*[c.cast("double") for c in (*by_lexicon, *by_pattern, other)])).drop("total__", "hits__")
+    made = df.withColumn("kinds__", F.array(*[c.cast("double") for c in (*counts, other, *steps)]))
+    return made.drop("total__", "hits__", *(f"{name}__" for name in _PATTERNS))
 
 
 class Classifier:
@@ -88,34 +124,35 @@ class Classifier:
             take = take | ((F.col("domain") == d) & (place < int((1 << 40) * min(1.0, each / count[d]))))
         texts = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.coalesce(_lang(df), F.lit("")).alias("lang"))
         some = Stored(texts.join(F.broadcast(rows.where(take)), "id").select("text", "domain", "lang"), "mixing-sample")
-        of: dict[str, dict[str, int]] = {}
-        for row in some.df().groupBy("lang", "domain").count().collect():
-            of.setdefault(row["lang"], {})[row["domain"]] = row["count"]
-        seen = some.df().select("lang", "domain", F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).where("word <> ''")
-        by_word = seen.groupBy("lang", "word").agg(*[F.sum((F.col("domain") == d).cast("bigint")).alias(f"in{i}") for i, d in enumerate(domains)])
-        by_word = Stored(by_word.where(sum((F.col(f"in{i}") for i in range(len(domains))), F.lit(0)) >= least_docs), "mixing-words")
-        lexicons: dict[str, dict[str, list[str]]] = {f"{d}/{j}": {} for d in domains for j in range(len(TIERS))}
-        for lang, docs in sorted(of.items()):
-            for i, d in enumerate(domains):
-                rest = sum(n for x, n in docs.items() if x != d)
-                inside = (F.col(f"in{i}") + 0.5) / (docs.get(d, 0) + 1.0)
-                outside = (sum((F.col(f"in{k}") for k in range(len(domains)) if k != i), F.lit(0)) + 0.5) / (rest + 1.0)
-                odds = F.log(inside / outside)
-                best = by_word.df().where((F.col("lang") == lang) & (odds >= math.log(TIERS[0])) & (F.col(f"in{i}") >= least_docs)).orderBy((odds * inside).desc(), "word").limit(lexicon)
-                for row in best.select("word", odds.alias("odds")).collect():
-                    tier = sum(row["odds"] >= math.log(t) for t in TIERS) - 1
-                    lexicons[f"{d}/{tier}"].setdefault(lang, []).append(row["word"])
+        inside = [F.sum((F.col("domain") == d).cast("bigint")) for d in domains]
+        docs = some.df().groupBy("lang").agg(*[x.alias(f"of{i}") for i, x in enumerate(inside)])  # a row for each language of the sample
+        seen = some.df().select("lang", "domain", F.explode(_forms(_words(F.col("text")))).alias("word")).where("word <> ''")
+        by_word = seen.groupBy("lang", "word").agg(*[x.alias(f"in{i}") for i, x in enumerate(inside)])
+        by_word = Stored(by_word.where(F.greatest(*[F.col(f"in{i}") for i in range(len(domains))], F.lit(0)) >= least_docs).join(F.broadcast(docs), "lang"), "mixing-words")
+        lexicons: dict[str, dict[str, list[str]]] = {f"{d}/{j}{star}": {} for star in ("", "*") for d in domains for j in range(len(TIERS))}
+        rest = lambda what, i: sum((F.col(f"{what}{k}") for k in range(len(domains)) if k != i), F.lit(0))
+        found = []
+        for i, d in enumerate(domains):
+            share = (F.col(f"in{i}") + 0.5) / (F.col(f"of{i}") + 1.0)
+            odds = F.log(share / ((rest("in", i) + 0.5) / (rest("of", i) + 1.0))) - SURE * F.sqrt(1 / (F.col(f"in{i}") + 0.5) + 1 / (rest("in", i) + 0.5))
+            own = by_word.df().where(F.col(f"in{i}") >= least_docs).select("lang", "word", F.lit(d).alias("domain"), odds.alias("odds"), (odds * share).alias("worth"))
+            found.append(own.where(F.col("odds") >= math.log(TIERS[0])).withColumn("star", F.when(F.col("word").endswith("*"), "*").otherwise("")))
+        best = Window.partitionBy("lang", "domain", "star").orderBy(F.desc("worth"), "word")  # no more words than the sample has
+        for row in functools.reduce(DataFrame.union, found).withColumn("place", F.row_number().over(best)).where(F.col("place") <= lexicon).orderBy("lang", "domain", "star", "place").collect():
+            tier = sum(row["odds"] >= math.log(t) for t in TIERS) - 1
+            lexicons[f"{row['domain']}/{tier}{row['star']}"].setdefault(row["lang"], []).append(row["word"])
         kinds = _kinds(some.df(), F.col("text"), lexicons)
-        n_kinds = len(lexicons) + len(_PATTERNS) + 1
-        sums = {r["domain"]: [r[f"k{j}"] for j in range(n_kinds)] for r in kinds.groupBy("domain").agg(*[F.sum(F.col("kinds__")[j]).alias(f"k{j}") for j in range(n_kinds)]).collect()}
-        share = []
+        sizes = [len(lexicons) + 1, *[len(STEPS) + 2] * len(_PATTERNS)]
+        sums = {r["domain"]: [r[f"k{j}"] for j in range(sum(sizes))] for r in kinds.groupBy("domain").agg(*[F.sum(F.col("kinds__")[j]).alias(f"k{j}") for j in range(sum(sizes))]).collect()}
+        shares = []
         for d in domains:
-            own = [x + 0.5 for x in sums.get(d, [0.0] * n_kinds)]
-            share.append([math.log(x / sum(own)) for x in own])
+            own = iter(x + 0.5 for x in sums.get(d, [0.0] * sum(sizes)))
+            groups = [[next(own) for _ in range(n)] for n in sizes]  # words, then each pattern: in each the shares add up to 1
+            shares.append([math.log(x / sum(g)) for g in groups for x in g])
         all_rows = sum(count.values())
         some.drop()
         by_word.drop()
-        return cls(domains, lexicons, [math.log(count[d] / all_rows) for d in domains], share)
+        return cls(domains, lexicons, [math.log(count[d] / all_rows) for d in domains], shares)
 
     def posteriors(self, df: DataFrame, text_col: str = "text") -> DataFrame:
         """df with posterior__: an array with the probability of each domain."""

@@ -66,16 +66,35 @@ def test_words_alike_in_their_first_letters_and_words_of_another_language(spark)
     assert all((x.p > 0.5) == (x.doc_id % 6 < 2) for x in got)
 
 
+def test_words_alike_only_in_their_beginnings_and_a_few_documents_full_of_marks(spark):
+    """Each toxic document has words of its own, all with one beginning; some are full of marks, which says nothing of the others."""
+    r, rows, labels = random.Random(5), [], []
+    ending = lambda: "".join(r.choice("aeioumnrst") for _ in range(6))
+    for i in range(1200):
+        toxic = i % 6 == 0
+        words = [f"word{r.randrange(300)}" for _ in range(r.randrange(60, 300))]
+        words += ["vilest" + ending() for _ in range(4 if toxic else r.random() < 0.1)] + ["###!!!"] * (40 if i % 30 == 0 else 0)
+        r.shuffle(words)
+        rows.append((i, " ".join(words), "xx", "s", 0))
+        labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    taught = X.quality_domains(spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").where("doc_id % 4 <> 2"))
+    model = X.Classifier.fit(docs, taught)
+    got = model.posteriors(docs).where("doc_id % 4 = 2").select("doc_id", F.col("posterior__")[model.domains.index("toxic")].alias("p")).collect()
+    assert len(got) == 300 and all((x.p > 0.5) == (x.doc_id % 6 == 0) for x in got)
+
+
 def posterior_by_hand(model, text, lang):
     """The probabilities of one text, word by word."""
     words = re.split(r"[^a-z0-9\x80-\U0010ffff]+", text.lower())
-    known = {w for by_lang in model.lexicons.values() for own in by_lang.values() for w in own}
-    kinds = []
-    for by_lang in model.lexicons.values():
-        own = by_lang.get(lang, []) if any(lang in x for x in model.lexicons.values()) else {w for ws in by_lang.values() for w in ws}
-        kinds.append(sum(w in own for w in words))
-    kinds += [len(re.findall(r"[#$%&*|!<>{}=]", text)), len(re.findall("[A-Z]{3}", text)), len(re.findall("[0-9]+", text))]
-    kinds.append(sum(w not in known for w in words))
+    langs = {x for by_lang in model.lexicons.values() for x in by_lang}
+    own = [set(by_lang.get(lang, [])) if lang in langs else {w for ws in by_lang.values() for w in ws} for by_lang in model.lexicons.values()]
+    entries = set().union(*own)
+    counted = [w if w in entries else w[:5] + "*" if len(w) >= 5 and w[:5] + "*" in entries else None for w in words]
+    kinds = [sum(w in kind for w in counted) for kind in own] + [counted.count(None)]
+    for pattern in (r"[#$%&*|!<>{}=]", "[A-Z]{3}", "[0-9]+"):
+        density = len(re.findall(pattern, text)) / len(words)
+        kinds += [density == 0, 0 < density <= 0.01, 0.01 < density <= 0.1, density > 0.1]
     logs = np.array([p + np.dot(ws, kinds) for p, ws in zip(model.log_prior, model.log_share)])
     e = np.exp(logs - logs.max())
     return e / e.sum()
