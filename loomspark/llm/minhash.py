@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomspark.llm.common import Stored, bounded_batches, groups, release, table, text_or_empty
+from loomspark.llm.common import Stored, bounded_batches, finished, groups, release, table, text_or_empty
 from loomspark.llm.components import connected_components
 from loomspark.llm.shingles import OnePermutation, mixed, shingle_set
 
@@ -191,12 +191,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = Stored(band.df().join(buckets.df(), "key"), "minhash-members")
     band.drop()
     buckets.drop()
+    release(df.sparkSession)
 
     alike = texts.join(members.df().select("id").distinct(), "id", "left_semi")
     sets = Stored(alike.select("id", F.arrow_udf(_sets, "array<bigint>")("text").alias("set")), "minhash-sets")
     met = members.df().where("id <> centre").select(F.col("id").alias("src"), F.col("centre").alias("dst")).distinct()
     star = _with_agreement(met, summary).groupBy("src").agg(F.max(F.struct("agree", "dst"))["dst"].alias("dst"))
     links = Stored(_confirmed(star, sets, percent), "minhash-links")
+    release(df.sparkSession)
 
     component = connected_components(links.df(), name="minhash-star")
     more = Stored(_across(members, component, summary, sets, percent), "minhash-more")
@@ -213,4 +215,4 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def op8_minhash(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return finished(near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")), "minhash-done")

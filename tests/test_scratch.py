@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from loomspark import scratch
-from loomspark.llm import suffix_dedup
+from loomspark.llm import minhash, suffix_dedup
 from loomspark.llm.common import release
 from loomspark.scratch import Stored, scratch_root
 
@@ -89,3 +89,11 @@ def test_release_reaches_executors(spark):
         assert tasks == spark.sparkContext.defaultParallelism
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_near_copies_are_stored_before_the_caller_reads(spark, tmp_path):
+    before, folder = checked_files(spark), documents(spark, tmp_path)
+    got = minhash.op8_minhash(spark, folder)
+    assert checked_files(spark) == before
+    assert all("/minhash-done-" in f for f in got.inputFiles()) and got.inputFiles()
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
