@@ -97,3 +97,13 @@ def test_near_copies_are_stored_before_the_caller_reads(spark, tmp_path):
     assert checked_files(spark) == before
     assert all("/minhash-done-" in f for f in got.inputFiles()) and got.inputFiles()
     assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+@pytest.mark.parametrize("own", [None, "false"])
+def test_session_keeps_its_setting(spark, own):
+    if own:
+        spark.conf.set(scratch._CLEANUP, own)
+    before = spark.conf.get(scratch._CLEANUP)
+    assert Stored(spark.range(100).repartition(3, "id"), "shuffled").df().count() == 100
+    assert spark.conf.get(scratch._CLEANUP) == before
+    spark.conf.unset(scratch._CLEANUP)
