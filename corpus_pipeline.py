@@ -74,6 +74,8 @@ STAGES = [
     ("mixing", mix_domains),
     ("sentencepiece", encode_pieces),
 ]
+#: Stages of DataFrame and SQL operations only, their result's files included.
+NATIVE = ("mixing",)
 #: Learned models, hashing and tokenizers aren't SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
@@ -81,7 +83,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        done = Stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        done = Stored(stage(spark, docs, sf_dir), f"pipeline-{name}", native=name in NATIVE)
         if last is not None:
             last.drop()
         docs, last = done.df(), done

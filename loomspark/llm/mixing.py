@@ -123,12 +123,12 @@ class Classifier:
         for d in domains:
             take = take | ((F.col("domain") == d) & (place < int((1 << 40) * min(1.0, each / count[d]))))
         texts = df.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), F.coalesce(_lang(df), F.lit("")).alias("lang"))
-        some = Stored(texts.join(F.broadcast(rows.where(take)), "id").select("text", "domain", "lang"), "mixing-sample")
+        some = Stored(texts.join(F.broadcast(rows.where(take)), "id").select("text", "domain", "lang"), "mixing-sample", native=True)
         inside = [F.sum((F.col("domain") == d).cast("bigint")) for d in domains]
         docs = some.df().groupBy("lang").agg(*[x.alias(f"of{i}") for i, x in enumerate(inside)])  # a row for each language of the sample
         seen = some.df().select("lang", "domain", F.explode(_forms(_words(F.col("text")))).alias("word")).where("word <> ''")
         by_word = seen.groupBy("lang", "word").agg(*[x.alias(f"in{i}") for i, x in enumerate(inside)])
-        by_word = Stored(by_word.where(F.greatest(*[F.col(f"in{i}") for i in range(len(domains))], F.lit(0)) >= least_docs).join(F.broadcast(docs), "lang"), "mixing-words")
+        by_word = Stored(by_word.where(F.greatest(*[F.col(f"in{i}") for i in range(len(domains))], F.lit(0)) >= least_docs).join(F.broadcast(docs), "lang"), "mixing-words", native=True)
         lexicons: dict[str, dict[str, list[str]]] = {f"{d}/{j}{star}": {} for star in ("", "*") for d in domains for j in range(len(TIERS))}
         rest = lambda what, i: sum((F.col(f"{what}{k}") for k in range(len(domains)) if k != i), F.lit(0))
         found = []
@@ -232,7 +232,7 @@ def mix(df: DataFrame, labels: DataFrame, weights: dict[str, float] | None, *, f
     slim = slim.withColumn("n__", n_tokens(F.col("text")))
     steps: list[list[float]] = []
     if model.domains:
-        scored = Stored(model.posteriors(slim, "text").drop("text", "lang"), "mixing-scored").df()
+        scored = Stored(model.posteriors(slim, "text").drop("text", "lang"), "mixing-scored", native=True).df()
         steps, _ = fit_rates(scored, model.domains, weights, tokens=tokens, floor=floor)
     else:
         scored = slim.drop("text", "lang").withColumn("posterior__", F.array().cast("array<double>"))

@@ -128,6 +128,30 @@ def test_only_sql(spark, labelled):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def plans_of(spark, run):
+    """The plans of all queries that run() starts, those that write scratch tables included."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    listened = lambda: spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    listened()
+    before = store.executionsCount()
+    run()
+    listened()
+    found = store.executionsList(int(before), 10_000)
+    return [found.apply(i).physicalPlanDescription() for i in range(found.size())]
+
+
+def native(plans, name):
+    """Does Spark's own writer make the tables called name, and no plan hold Python?"""
+    return any(f"/{name}" in p and "InsertIntoHadoopFsRelationCommand" in p for p in plans) and not any(re.search("Python|Arrow", p) for p in plans)
+
+
+def test_pipeline_mixes_without_python(spark, monkeypatch, labelled, folder_of):
+    path = folder_of(documents=labelled[0], labels=labelled[1])
+    monkeypatch.setattr(C, "STAGES", [s for s in C.STAGES if s[0] == "mixing"])
+    plans = plans_of(spark, lambda: C.run(spark, path).collect())
+    assert native(plans, "pipeline-mixing")
+
+
 def test_odd_tables(spark, labelled, docs_of):
     docs, labels = labelled
     domains = X.quality_domains(labels)
