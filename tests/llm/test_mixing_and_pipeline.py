@@ -145,6 +145,12 @@ def native(plans, name):
     return any(f"/{name}" in p and "InsertIntoHadoopFsRelationCommand" in p for p in plans) and not any(re.search("Python|Arrow", p) for p in plans)
 
 
+def test_scratch_tables_are_written_without_python(spark, labelled, folder_of):
+    path = folder_of(documents=labelled[0], labels=labelled[1])
+    plans = plans_of(spark, lambda: X.op9_mixing(spark, path).collect())
+    assert all(native(plans, f"mixing-{x}") for x in ("sample", "words", "scored"))
+
+
 def test_pipeline_mixes_without_python(spark, monkeypatch, labelled, folder_of):
     path = folder_of(documents=labelled[0], labels=labelled[1])
     monkeypatch.setattr(C, "STAGES", [s for s in C.STAGES if s[0] == "mixing"])
